@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, term_counts, topn
+from . import bpe, neighbours, term_counts, topn
 
-_MODULES = [term_counts, topn, bpe]
+_MODULES = [term_counts, neighbours, topn, bpe]
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
