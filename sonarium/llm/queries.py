@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, leakage, neighbours, term_counts, topn
+from . import bpe, leakage, names, neighbours, term_counts, topn
 
-_MODULES = [term_counts, neighbours, topn, bpe, leakage]
+_MODULES = [names, term_counts, neighbours, topn, bpe, leakage]
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
