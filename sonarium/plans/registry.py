@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from ..operators import snapshots
+from ..operators import entities, history, snapshots, tags, vectors
 
-_MODULES = [snapshots]
+_MODULES = [snapshots, tags, entities, vectors, history]
 
 
 def flagship(spark, sf_dir: str):
-    return queries()["p2_found"](spark, sf_dir)
+    return queries()["tag_rank_zidf"](spark, sf_dir)
 
 
 def queries() -> dict:
