@@ -34,7 +34,7 @@ _MARKUP = regex.compile(r"<!--.*?-->|</?[A-Za-z][^<>]{0,300}>", regex.S)
 _DROPPED = regex.compile(r"[\p{M}\p{Cf}\x00-\x08\x0e-\x1b\x7f'’‘ʼ`´]+")
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _ASCII_WORD = re.compile(r"[a-z0-9]+")
-_ASCII_DROPPED = dict.fromkeys([*range(9), *range(14, 28), 127, ord("'"), ord("`")])
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1b\x7f]")
 #: Letters that compatibility decomposition leaves alone.
 _PLAIN = str.maketrans({"ø": "o", "đ": "d", "ł": "l", "ı": "i", "æ": "ae", "œ": "oe", "ð": "d", "þ": "th", "ħ": "h"})
 
@@ -48,7 +48,8 @@ def plain_words(text: str | None) -> list[str]:
     if "<" in text:
         text = _MARKUP.sub(" ", text)
     if text.isascii():
-        return _ASCII_WORD.findall(text.translate(_ASCII_DROPPED).lower())
+        text = text.replace("'", "").replace("`", "").lower()
+        return _ASCII_WORD.findall(text if text.isprintable() else _CONTROL.sub("", text))
     text = unicodedata.normalize("NFKD", text)
     return _WORD.findall(_DROPPED.sub("", text).casefold().translate(_PLAIN))
 

@@ -64,7 +64,7 @@ STRICT = "|".join([
 ])
 HINT = "|".join([
     _SCRIPT, r"\bcookies?\b", r"\bbrowser\b|navegador|navigateur", r"\b(?:error|erreur|fehler|erro|http|status|exception)\b|ошибк|エラー", r"not found|introuvable|encontrad|gefunden|найден|unavailable|forbidden|denied|blocked|gateway|suspended",
-    r"expired|maintenance|offline|retry|\breload|refresh|\boops\b|\bsorry\b|\bhmm\b|try later|slow down|no longer (?:exists|available)|does not exist|log in|sign in", r"placeholder|platzhalter|dummy|lorem|ipsum|filler|goes here|your (?:name|text|bio) here|provis|ejemplo|exemplo|beispiel",
+    r"expired|maintenance|offline|retry|\breload|refresh|\boops\b|\bsorry\b|\bhmm\b|try later|slow down|no longer (?:exists|available)|does not exist|log in|sign in", r"placeholder|platzhalter|dummy|lorem|ipsum|filler|goes here|your (?:name|text|bio) here|provisoi|provisor|ejemplo|exemplo|beispiel",
     r"\b(?:bla|blah|test|text|abc|title|bio)\.\.\.", r"^\W*(?:text|test|bio|title|tbd|tba|n/?a|null|none|undefined|untitled)\W*$",
 ])
 #: Pieces of text without which none of the phrases above can stand; a quick search for all at once.
@@ -74,8 +74,8 @@ introuvable|encontrad|gefunden|найден|unavailable|forbidden|denied|blocked
 sorry|hmm|try again|try later|slow down|no longer|does not exist|log in|sign in|placeholder|platzhalter|dummy|lorem|ipsum|dolor|filler|goes here|
 your name here|your text here|your bio here|provis|ejemplo|exemplo|beispiel|something |request|unexpected|could not|did not answer|traceback|
 uncaught|no such|not available|acceso|acces refuse|zugriff|tente nov|intentelo|spater|reessayez|removed or|enlace|страниц|попробуйте|ページ|
-start page|consec|blindtext|sample|mock|example|click to|add |paste|put |type |insert|enter|write|replace|remplacer|ersetzen|hier steht|текст|
-テキスト|文章|todo|coming soon|asdf|foo bar|null|undefined|nan|[object|xxx|bla|test|text|abc|title|bio|tbd|tba|n/a|none|untitled|permission|
+start page|consec|blindtext|sample |mock |example|click to| here|in this box|in this field|before publishing|add your|paste |replace |remplacer|ersetzen|hier steht|текст|
+テキスト|文章|todo|coming soon|asdf|foo bar|write two|undefined|[object|xxx|blah|bla...|permission|
 upstream|reset|timed out|refused|you asked|too many|gone|server| sit |amet
 """.replace("\n", "").split("|")
 _ACCENTS = str.maketrans("áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
@@ -85,7 +85,19 @@ _AGAIN = re.compile(r"\b([^\W\d_]{2,12})\b(?:[^\w\n]{1,5}\1\b){4}")
 _MASH = re.compile(r"\b[b-df-hj-np-tv-xz]{3,}\b|[b-df-hj-np-tv-xz]{5}|q[a-tv-z]|[a-z];[a-z]")
 #: Texts with a template of hints, and the share of them that are nothing else, for it to count.
 REPEATED, WHOLE_SHARE = 2, 0.6
-_SLOT_SIGNS = re.compile(r"[{}<>\[\]%$#@*?:|]|&lt;|__|PLACEHOLDER|\((?:add|insert) ")
+_SLOT_SIGNS = re.compile(r"[{\[<]|\$\(|%%|%[A-Za-z(]|\?\?|\*\||@@|&lt;|__|PLACEHOLDER|:[A-Za-z_.]+:|\((?:add|insert) ")
+#: Verbs that an instruction to the writer begins with.
+_VERBS = ("type ", "insert ", "enter ", "put ", "paste ", "write ", "add ", "replace ")
+#: Segments up to this length are read in any case.
+_SHORT = 24
+
+
+def plain_of(text: str) -> str:
+    """Lower case, entities resolved, accents of Latin letters off."""
+    if "&" in text:
+        text = html.unescape(text)
+    text = text.lower()
+    return text if text.isascii() else text.translate(_ACCENTS)
 
 
 def template_of(segment: str) -> str:
@@ -122,7 +134,7 @@ class _Reader:
         """Rows (kind, strong, names, frame, template), kind being slot, notice, hint or other; a text of real content has one other."""
         rows: list[tuple] = []
         other = False
-        whole = html.unescape(text).lower().translate(_ACCENTS)
+        whole = plain_of(text)
         if _AGAIN.search(whole) and _AGAIN.search(_QUOTED.sub(" ", whole)):
             rows.append(("notice", None, None, None, None))
         for segment in _CUT.split(text):
@@ -136,10 +148,10 @@ class _Reader:
                         if names:
                             looks = True
                             rows.append(("slot", strong, names, f"{m.group(1).lower()}<>{m.group(3).lower()}", None))
-            plain = html.unescape(segment) if "&" in segment else segment
-            plain = plain.lower().translate(_ACCENTS)
+            plain = plain_of(segment)
             mashed = _looks_mashed(plain)
-            if not mashed and next(self.gate.iter(plain), None) is None:
+            told = len(plain) <= _SHORT or plain.lstrip(" -•*").startswith(_VERBS) or next(self.gate.iter(plain), None) is not None
+            if not mashed and not told:
                 other = other or (not looks and sum(c.isalpha() for c in plain[:40]) > 2)
                 continue
             bare = _QUOTED.sub(" ", plain)
