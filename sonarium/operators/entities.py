@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ascii_fold
+from ..functions.titles import is_numbered, plain_title
 from ..session import table
+from .ranks import placed
 
 
 def slug_base(name: Column) -> Column:
@@ -39,9 +41,9 @@ def pages(spark, sf_dir: str) -> DataFrame:
 
 def slug_assign(spark, sf_dir: str) -> DataFrame:
     """Unique slugs: the first of a family by creation has the bare slug, the others -2, -3 and so on."""
-    base = artists(spark, sf_dir).withColumn("base", slug_base(F.coalesce("display_name", F.lit(""))))
-    place = F.row_number().over(Window.partitionBy("base").orderBy("created_at", "id"))
-    return base.withColumn("n", place).select("id", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), "n")).alias("slug"))
+    base = artists(spark, sf_dir).select("id", "created_at", slug_base(F.coalesce("display_name", F.lit(""))).alias("base"))
+    n = placed(base, ["base"], ["created_at", "id"], "n")  # nameless artists may be many
+    return n.select("id", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), "n")).alias("slug"))
 
 
 def unique_name_match(spark, sf_dir: str) -> DataFrame:
@@ -88,9 +90,8 @@ def vanity_extract(spark, sf_dir: str) -> DataFrame:
 def shared_url_losers(spark, sf_dir: str) -> DataFrame:
     """Pages that claim an owner's name on a platform that an earlier page has."""
     claimed = vanity_extract(spark, sf_dir).join(pages(spark, sf_dir).select("id", "platform", "first_seen_at"), "id").withColumn("owner", F.regexp_replace("owner", "[^a-z0-9]", ""))
-    of = Window.partitionBy("platform", "owner").orderBy("first_seen_at", "id")
-    ranked = claimed.withColumn("rn", F.row_number().over(of)).withColumn("winner", F.first("id").over(of))
-    return ranked.where("rn > 1").select("platform", "owner", F.col("id").alias("loser"), "winner")
+    first = claimed.groupBy("platform", "owner").agg(F.min(F.struct("first_seen_at", "id"))["id"].alias("winner"))
+    return claimed.join(first, ["platform", "owner"]).where("id <> winner").select("platform", "owner", F.col("id").alias("loser"), "winner")
 
 
 def evidence_methods(spark, sf_dir: str) -> DataFrame:
@@ -181,6 +182,29 @@ def seeded_sample(spark, sf_dir: str) -> DataFrame:
     return docs.withColumn("h", F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string")))).orderBy("h", "doc_id").limit(100).select("doc_id", "h")
 
 
+def text_forensics(spark, sf_dir: str) -> DataFrame:
+    """Artists with eight texts or more: how alike in length they are, how many are copies or end in a number, and a score of it, at most 1."""
+    docs = table(spark, sf_dir, "documents").where("artist_id is not null and text is not null").dropDuplicates(["doc_id"])
+    digest = docs.select("artist_id", F.sha2("text", 256).alias("digest"), F.length("text").alias("len"), F.when(is_numbered(F.col("text")), 1.0).otherwise(0.0).alias("numbered"))
+    per = digest.groupBy("artist_id", "digest").agg(F.count("*").alias("n"), F.max("len").alias("len"), F.max("numbered").alias("numbered"))
+    total = lambda c: F.sum(F.col("n") * c)
+    mean = total(F.col("len")) / F.sum("n")
+    sd = F.sqrt(F.greatest(F.lit(0.0), total(F.col("len") * F.col("len")) / F.sum("n") - mean * mean))
+    rows = per.groupBy("artist_id").agg(
+        F.sum("n").alias("texts"), F.round(sd / F.greatest(mean, F.lit(1.0)), 4).alias("cv"), F.round(total(F.col("numbered")) / F.sum("n"), 4).alias("numbered"), F.round(1 - F.count("*") / F.sum("n"), 4).alias("copies")
+    )
+    add = lambda test, x: F.when(test, x).otherwise(0.0)
+    points = F.when(F.col("cv") < 0.05, 0.4).when(F.col("cv") < 0.12, 0.2).otherwise(0.0) + add(F.col("numbered") >= 0.5, 0.25) + add(F.col("copies") >= 0.2, 0.2) + add(F.col("texts") >= 30, 0.15)
+    return rows.where("texts >= 8").withColumn("score", F.round(F.least(F.lit(1.0), points), 2))
+
+
+def plain_name_series(spark, sf_dir: str) -> DataFrame:
+    """Names of artists and candidates read as titles: their plain form, and whether a number ends them."""
+    names = artists(spark, sf_dir).select(F.col("display_name").alias("name")).unionByName(candidates(spark, sf_dir).select(F.col("band_name").alias("name")))
+    rows = names.select(plain_title(F.col("name")).alias("plain"), is_numbered(F.col("name")).alias("numbered")).where("plain <> ''")
+    return rows.groupBy("plain").agg(F.count("*").alias("n"), F.bool_or("numbered").alias("numbered")).where("n > 1 or numbered")
+
+
 _A = "a as (select distinct * from artist where id is not null)"
 _C = "c as (select id, max(platform_id) as platform_id, max(band_name) as band_name from bc_candidate where id is not null group by 1)"
 _P = "p as (select distinct * from platform_identity where id is not null)"
@@ -188,7 +212,7 @@ _KEY = "regexp_replace(lower({0}), '[^a-z0-9]', '', 'g')"
 _OWNERS = "o as (select id, platform, first_seen_at, nullif(regexp_extract(lower(vanity_url), '^https?://([^/]+)/', 1), '') as host, nullif(regexp_extract(lower(vanity_url), '^https?://[^/]+/@?([^/?#]+)', 1), '') as owner from p where vanity_url is not null)"
 QUERIES = {
     f.__name__: f
-    for f in (slug_assign, unique_name_match, name_keys_dedup, typo1_pairs, vanity_extract, shared_url_losers, evidence_methods, evidence_patch, lost_pages, either_key_links, source_yield_choice, diversity_selection, majority_language, exact_duplicate_texts, catalogue_audit, seeded_sample)
+    for f in (slug_assign, unique_name_match, name_keys_dedup, typo1_pairs, vanity_extract, shared_url_losers, evidence_methods, evidence_patch, lost_pages, either_key_links, source_yield_choice, diversity_selection, majority_language, exact_duplicate_texts, catalogue_audit, seeded_sample, text_forensics, plain_name_series)
 }
 _ASCII = "lower(regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]', '', 'g'))"
 SQL = {
@@ -220,4 +244,11 @@ SQL = {
       union all select 'owned_unknown', count(*) from p where (page_type in ('artist', 'topic')) <> (artist_id is not null)
       union all select 'null_vectors', count(*) from e where embedding is null union all select 'wrong_length', count(*) from e where len(embedding) <> dim""",
     "seeded_sample": "select doc_id, md5('7:' || doc_id::varchar) as h from (select distinct doc_id from documents) order by h, doc_id limit 100",
+    "text_forensics": r"""with d as (select distinct on (doc_id) artist_id, text, len(text) as n, (regexp_matches(text, '(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{1,3})\s*$'))::int as num from documents where artist_id is not null and text is not null),
+      r as (select artist_id, count(*) as texts, round(stddev_pop(n) / greatest(avg(n), 1), 4) as cv, round(avg(num), 4) as numbered, round(1 - count(distinct sha256(text)) / count(*), 4) as copies from d group by 1)
+      select *, round(least(1.0, (case when cv < 0.05 then 0.4 when cv < 0.12 then 0.2 else 0 end) + (case when numbered >= 0.5 then 0.25 else 0 end) + (case when copies >= 0.2 then 0.2 else 0 end) + (case when texts >= 30 then 0.15 else 0 end))::double, 2) as score from r where texts >= 8""",
+    "plain_name_series": rf"""with {_A}, {_C}, n as (select display_name as name from a union all select band_name from c),
+      f as (select name, strip_accents(regexp_replace(name, '[^\x00-\x7F\p{{L}}\p{{N}}\p{{M}}]', ' ', 'g')) as s from n), g as (select name, regexp_replace(regexp_replace(regexp_replace(s, '[^\x00-\x7F]', '', 'g'), '(?i)\((feat|ft|with|prod)[^)]*\)', '', 'g'), '(?i)\b(feat|ft)\.?\s.+$', '') as t from f),
+      h as (select trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) as plain, regexp_matches(name, '(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{{1,3}})\s*$') as numbered from g)
+      select plain, count(*) as n, bool_or(numbered) as numbered from h where plain <> '' group by 1 having count(*) > 1 or bool_or(numbered)""",
 }

@@ -137,10 +137,54 @@ def tag_latency(spark, sf_dir: str) -> DataFrame:
     return rows.groupBy("model", month.alias("month")).agg(F.count("*").alias("rows")).join(first, ["model", "month"], "left").select("model", "month", "rows", F.coalesce("artists", F.lit(0)).alias("artists"))
 
 
+def flag_changes(breaches: DataFrame, open_flags: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, action): ``open`` for a breach without a flag, ``close`` for a flag without a breach, else ``keep``; one row a key."""
+    b, f = breaches.select(*keys).distinct().withColumn("_b", F.lit(True)), open_flags.select(*keys).distinct().withColumn("_f", F.lit(True))
+    action = F.when(F.col("_f").isNull(), "open").when(F.col("_b").isNull(), "close").otherwise("keep")
+    return b.join(f, list(keys), "full_outer").select(*keys, action.alias("action"))
+
+
+def flag_lifecycle(spark, sf_dir: str) -> DataFrame:
+    """Flags of users with errors: those of the second to last week are open, those of the last week are breaches."""
+    errors = events(spark, sf_dir).where("event_type = 'error' and user_id is not null")
+    now = F.broadcast(events(spark, sf_dir).agg(F.max("ts").alias("now")))  # one row
+    aged = errors.crossJoin(now).select("user_id", (F.col("ts") > F.col("now") - F.expr("interval 7 days")).alias("new"), (F.col("ts") > F.col("now") - F.expr("interval 14 days")).alias("recent"))
+    return flag_changes(aged.where("new"), aged.where("recent and not new"), ["user_id"])
+
+
+def grown_keys(now: DataFrame, seen: DataFrame, key: str, n: str) -> DataFrame:
+    """Keys never judged, or with more than they had when they were: what a gate has to judge again."""
+    before = seen.groupBy(key).agg(F.max(n).alias("_seen"))
+    return now.join(before, key, "left").where(F.col(n) > F.coalesce(F.col("_seen"), F.lit(-1))).drop("_seen")
+
+
+def regate_users(spark, sf_dir: str) -> DataFrame:
+    """Users who have more events than before the last day of the table."""
+    rows = events(spark, sf_dir).where("user_id is not null")
+    aged = rows.crossJoin(F.broadcast(rows.agg((F.max("ts") - F.expr("interval 1 day")).alias("mark"))))  # one row
+    return grown_keys(aged.groupBy("user_id").agg(F.count("*").alias("n")), aged.where("ts < mark").groupBy("user_id").agg(F.count("*").alias("n")), "user_id", "n")
+
+
+def stalls(spark, sf_dir: str) -> DataFrame:
+    """Hours without an event of a type between hours with one: start, end and length, over one row an hour."""
+    hours = events(spark, sf_dir).select("event_type", F.date_trunc("hour", "ts").alias("hour")).distinct()
+    rows = hours.withColumn("was", F.lag("hour").over(Window.partitionBy("event_type").orderBy("hour")))
+    gap = (F.unix_timestamp("hour") - F.unix_timestamp("was")) / 3600 - 1
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return rows.where(gap >= 1).select("event_type", text(F.col("was")).alias("last_before"), text(F.col("hour")).alias("first_after"), gap.cast("int").alias("hours"))
+
+
+def stale_users(spark, sf_dir: str) -> DataFrame:
+    """Users silent for more than a day at the end of the table, and for how many whole hours."""
+    rows = events(spark, sf_dir)
+    last = rows.where("user_id is not null").groupBy("user_id").agg(F.max("ts").alias("last")).crossJoin(F.broadcast(rows.agg(F.max("ts").alias("now"))))  # one row
+    return last.where(F.col("now") - F.expr("interval 1 day") > F.col("last")).select("user_id", F.floor((F.unix_micros("now") - F.unix_micros("last")) / 3600000000).cast("int").alias("hours"))
+
+
 _E = "e as (select * from events), a as (select * from e where event_id % 2 = 0), b as (select * from e where event_id % 2 = 1)"
 QUERIES = {
     f.__name__: f
-    for f in (latest_wins_upsert, insert_if_absent, replace_wholesale, field_merge, incremental_watermark, trailing_counts, tumbling_counts, sliding_counts, session_counts, json_props_agg, sanity_gates, tag_latency)
+    for f in (latest_wins_upsert, insert_if_absent, replace_wholesale, field_merge, incremental_watermark, trailing_counts, tumbling_counts, sliding_counts, session_counts, json_props_agg, sanity_gates, tag_latency, flag_lifecycle, regate_users, stalls, stale_users)
 }
 SQL = {
     "latest_wins_upsert": "select user_id, event_type, event_id, round(value, 6) as value from (select *, row_number() over (partition by user_id, event_type order by ts desc, value desc, event_id desc) as rn from events) where rn = 1",
@@ -161,4 +205,10 @@ SQL = {
       select serial, ids, mbids, coalesce(ids >= 0.98 * was and mbids >= 0.95 * was_mbids, true) as passes from r""",
     "tag_latency": """with r as (select * from artist_tag_scores where artist_id is not null and computed_at is not null), f as (select model, strftime(c, '%Y-%m') as month, count(*) as artists from (select model, artist_id, min(computed_at) as c from r group by all) group by all)
       select model, month, rows, coalesce(artists, 0) as artists from (select model, strftime(computed_at, '%Y-%m') as month, count(*) as rows from r group by all) left join f using (model, month)""",
+    "flag_lifecycle": """with n as (select max(ts) as now from events), e as (select distinct user_id, ts > now - interval 7 days as new from events, n where event_type = 'error' and user_id is not null and ts > now - interval 14 days)
+      select user_id, case when not bool_or(not new) then 'open' when not bool_or(new) then 'close' else 'keep' end as action from e group by 1""",
+    "regate_users": "select user_id, count(*) as n from events where user_id is not null group by 1 having max(ts) >= (select max(ts) - interval 1 day from events where user_id is not null)",
+    "stalls": """with h as (select distinct event_type, date_trunc('hour', ts) as hour from events), g as (select *, lag(hour) over (partition by event_type order by hour) as was from h)
+      select event_type, strftime(was, '%Y-%m-%d %H:%M:%S') as last_before, strftime(hour, '%Y-%m-%d %H:%M:%S') as first_after, (datediff('hour', was, hour) - 1)::int as hours from g where hour > was + interval 1 hour""",
+    "stale_users": "select user_id, floor((epoch_us((select max(ts) from events)) - epoch_us(max(ts))) / 3600000000)::int as hours from events where user_id is not null group by 1 having max(ts) < (select max(ts) - interval 1 day from events)",
 }

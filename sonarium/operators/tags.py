@@ -63,9 +63,9 @@ def weight(z: Column) -> Column:
 def gated(rows: DataFrame, value: str, k: int, gate: float, keep_first: bool) -> DataFrame:
     """The k best of each artist and model within ``gate`` of the best; equal values by tag."""
     of = Window.partitionBy("artist_id", "model")
-    ranked = rows.withColumn("rn", F.row_number().over(of.orderBy(F.desc(value), "tag"))).withColumn("top", F.max(value).over(of))
+    best = rows.withColumn("rn", F.row_number().over(of.orderBy(F.desc(value), "tag"))).where(F.col("rn") <= k)  # cut before the shuffle
     near = (F.col(value) > 0) & (F.col(value) >= gate * F.col("top"))
-    return ranked.where((F.col("rn") <= k) & ((F.col("rn") == 1) | near if keep_first else near))
+    return best.withColumn("top", F.max(value).over(of)).where((F.col("rn") == 1) | near if keep_first else near)
 
 
 def tag_rank_zidf(spark, sf_dir: str) -> DataFrame:
@@ -220,6 +220,76 @@ def tag_classify_heuristic(spark, sf_dir: str) -> DataFrame:
     return _element_tags(spark, sf_dir).groupBy("tag").agg(F.count("*").alias("n")).withColumn("category", category(F.col("tag"))).where("category is not null")
 
 
+def calibrated_tags_topk(spark, sf_dir: str) -> DataFrame:
+    """The hundred highest scores against their tag's moments, or the model's where fewer than 20 scores make them."""
+    scores = held_scores(spark, sf_dir)
+    joined = scores.join(moments(scores), ["tag", "model"], "left").join(F.broadcast(global_moments(scores)), "model")  # a row a model
+    own = F.coalesce(F.col("n") >= 20, F.lit(False))
+    z = (F.col("score") - F.when(own, F.col("mean")).otherwise(F.col("gmean"))) / F.when(own, F.col("sd")).otherwise(F.col("gsd"))
+    return joined.select("artist_id", "tag", "model", F.round(z, 6).alias("z")).orderBy(F.desc("z"), "artist_id", "tag", "model").limit(100)
+
+
+def _owned_tags(spark, sf_dir: str) -> DataFrame:
+    """(artist_id, tag) of the tags that people gave to an artist's candidates, each once."""
+    owner = table(spark, sf_dir, "bc_candidate").where("id is not null").groupBy("id").agg(F.max("artist_id").alias("artist_id")).where("artist_id is not null")
+    return _element_tags(spark, sf_dir).join(owner, "id").select("artist_id", "tag").distinct()
+
+
+def human_tag_tier(spark, sf_dir: str) -> DataFrame:
+    """The first ten tags by alphabet that people gave to an artist's candidates."""
+    place = F.row_number().over(Window.partitionBy("artist_id").orderBy("tag"))
+    return _owned_tags(spark, sf_dir).withColumn("place", place).where(F.col("place") <= TAG_K)
+
+
+def human_then_scored(spark, sf_dir: str) -> DataFrame:
+    """Five tags an artist: people's first, then the scored ones by their best score, each spelling in lower case once."""
+    human = human_tag_tier(spark, sf_dir).select("artist_id", "tag", F.lit(0).alias("tier"), F.col("place").cast("double").alias("at"))
+    low = held_scores(spark, sf_dir).select("artist_id", F.lower(F.trim("tag")).alias("tag"), "score").where("tag <> ''")
+    scored = low.groupBy("artist_id", "tag").agg((-F.max("score")).alias("at")).select("artist_id", "tag", F.lit(1).alias("tier"), "at")
+    once = human.unionByName(scored).groupBy("artist_id", "tag").agg(F.min(F.struct("tier", "at")).alias("o"))
+    place = F.row_number().over(Window.partitionBy("artist_id").orderBy("o.tier", "o.at", "tag"))
+    return once.withColumn("place", place).where("place <= 5").select("artist_id", "place", "tag", F.col("o.tier").alias("tier"))
+
+
+def undecided_tags(spark, sf_dir: str) -> DataFrame:
+    """Tags that are neither approved nor sorted out by a rule, with the candidates that have them."""
+    counts = _element_tags(spark, sf_dir).groupBy("tag").agg(F.count_distinct("id").alias("n"))
+    return counts.where(category(F.col("tag")).isNull()).join(approved_tags(spark, sf_dir), "tag", "left_anti")
+
+
+def label_overlap(spark, sf_dir: str) -> DataFrame:
+    """What an artist's scored tags share with those people gave: both sides' numbers, common ones, the share of the smaller side."""
+    low = held_scores(spark, sf_dir).select("artist_id", F.lower(F.trim("tag")).alias("tag")).where("tag <> ''").distinct().withColumn("side", F.lit(1))
+    both = low.unionByName(_owned_tags(spark, sf_dir).withColumn("side", F.lit(2))).groupBy("artist_id", "tag").agg(F.sum("side").alias("sides"))
+    n = both.groupBy("artist_id").agg(F.count_if(F.col("sides") != 2).alias("scored"), F.count_if(F.col("sides") != 1).alias("human"), F.count_if(F.col("sides") == 3).alias("common"))
+    return n.where("scored > 0 and human > 0").withColumn("share", F.round(F.col("common") / F.least("scored", "human"), 4))
+
+
+def judged_counts(spark, sf_dir: str) -> DataFrame:
+    """(model, at, pos, neg): scores to four places of artists that people tagged, by whether people gave the tag."""
+    human = _owned_tags(spark, sf_dir)
+    scores = held_scores(spark, sf_dir).join(human.select("artist_id").distinct(), "artist_id", "left_semi").withColumn("tag", F.lower(F.trim("tag")))
+    judged = scores.join(human.withColumn("yes", F.lit(True)), ["artist_id", "tag"], "left")
+    return judged.groupBy("model", F.round("score", 4).alias("at")).agg(F.count("yes").alias("pos"), F.count_if(F.col("yes").isNull()).alias("neg"))
+
+
+def auc_rank_sum(spark, sf_dir: str) -> DataFrame:
+    """Per model the chance that a tag people gave scores above another, equal scores as half: over counts of each score."""
+    below = Window.partitionBy("model").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # a row a score of four places
+    rows = judged_counts(spark, sf_dir).withColumn("below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    sums = rows.groupBy("model").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("won"))
+    return sums.where("pos > 0 and neg > 0").select("model", "pos", "neg", F.round(F.col("won") / (F.col("pos") * F.col("neg")), 6).alias("auc"))
+
+
+def threshold_grid(spark, sf_dir: str) -> DataFrame:
+    """Precision and recall of each model's scores from each of 19 bars on, against the tags people gave."""
+    rows = judged_counts(spark, sf_dir).withColumn("bar", F.explode(F.sequence(F.lit(1), F.lit(19))))
+    over = F.col("at") >= F.col("bar") / 20
+    sums = rows.groupBy("model", "bar").agg(F.sum(F.when(over, F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(over, F.col("neg")).otherwise(0)).alias("fp"), F.sum("pos").alias("all_pos"))
+    ratio = lambda a, b: F.round(F.try_divide(a, b), 6)
+    return sums.select("model", (F.col("bar") / 20).alias("bar"), "tp", "fp", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("all_pos")).alias("recall"))
+
+
 _HELD = """held as (
   select artist_id, tag, model, score::double as score from (
     select *, row_number() over (partition by artist_id, tag, model order by computed_at desc nulls last, score desc nulls last) as rn
@@ -231,6 +301,8 @@ cal as (select h.*, (score - coalesce(mean, gmean)) / coalesce(sd, gsd) as z, ln
   from held h left join mom using (tag, model) join gm using (model))"""
 _CAND = "cand as (select id, max(tags) as tags, max(artist_id) as artist_id from bc_candidate where id is not null group by 1), els as (select * from (select id, lower(trim(tag)) as tag from (select id, unnest(tags) as tag from cand)) where tag <> '')"
 _SHARES = "shares as (select model, tag, count(distinct artist_id) / max(artists)::double as share from held join gm using (model) group by all), humans as (select tag, count(distinct id) as humans from els group by 1), magnets as (select model, tag, share, coalesce(humans, 0) as humans from shares left join humans using (tag) where share > 0.08 and coalesce(humans, 0) < 100)"
+_OWNED = "owned as (select distinct artist_id, tag from els join cand using (id) where artist_id is not null)"
+_JUDGED = "jc as (select model, round(score, 4) as at, count(*) filter (where o.tag is not null) as pos, count(*) filter (where o.tag is null) as neg from (select * from held where artist_id in (select artist_id from owned)) h left join owned o on o.artist_id = h.artist_id and o.tag = lower(trim(h.tag)) group by all)"
 _APPROVED = "approved as (select tag from els where len(string_split_regex(tag, '[-_/ ]+')) <= 2 group by tag having count(distinct id) >= 5)"
 
 
@@ -241,7 +313,7 @@ def _in(values) -> str:
 _CANON = "case regexp_replace(tag, '^#', '') " + " ".join(f"when '{a}' then '{b}'" for a, b in ALIASES.items()) + " else regexp_replace(tag, '^#', '') end"
 QUERIES = {
     f.__name__: f
-    for f in (tag_rank_zidf, tag_rank_centred, tag_calibration_moments, tag_fallback_rank, magnet_blocklist, tag_histogram, tag_concentration, magnet_load, tag_frequency, alias_fold, human_tier_union, genre_token_recovery, allowlist_gate, tag_classify_heuristic)
+    for f in (tag_rank_zidf, tag_rank_centred, tag_calibration_moments, tag_fallback_rank, magnet_blocklist, tag_histogram, tag_concentration, magnet_load, tag_frequency, alias_fold, human_tier_union, genre_token_recovery, allowlist_gate, tag_classify_heuristic, calibrated_tags_topk, human_tag_tier, human_then_scored, undecided_tags, label_overlap, auc_rank_sum, threshold_grid)
 }
 SQL = {
     "tag_rank_zidf": f"""with {_HELD}, r as (select *, round(z * idf, 9) as za from cal where rate < 1.0),
@@ -277,6 +349,21 @@ SQL = {
     "tag_classify_heuristic": f"""with {_CAND}, c as (select tag, count(*) as n from els group by 1), k as (select *, case when tag in {_in(INSTRUMENTS)} then 'instrument' when tag in {_in(META)} then 'meta' when tag in {_in(MOODS)} then 'mood'
       when regexp_matches(tag, '{DECADE.replace("'", "''")}') then 'era' when regexp_matches(tag, '{LABEL}') then 'label' when regexp_matches(tag, '{NUMERIC.replace("'", "''")}') then 'numeric' end as category from c)
       select tag, n, category from k where category is not null""",
+    "calibrated_tags_topk": f"""with {_HELD} select artist_id, tag, model, round((score - case when n >= 20 then mean else gmean end) / case when n >= 20 then sd else gsd end, 6) as z
+      from held left join mom using (tag, model) join gm using (model) order by z desc, artist_id, tag, model limit 100""",
+    "human_tag_tier": f"with {_CAND}, {_OWNED}, k as (select *, row_number() over (partition by artist_id order by tag) as place from owned) select artist_id, tag, place::int as place from k where place <= 10",
+    "human_then_scored": f"""with {_HELD}, {_CAND}, {_OWNED}, t as (select *, row_number() over (partition by artist_id order by tag)::double as at from owned),
+      u as (select artist_id, tag, 0 as tier, at from t where at <= 10 union all select artist_id, lower(trim(tag)), 1, -max(score) from held where trim(tag) <> '' group by 1, 2),
+      o as (select *, row_number() over (partition by artist_id, tag order by tier, at) as rn from u), k as (select *, row_number() over (partition by artist_id order by tier, at, tag) as place from o where rn = 1)
+      select artist_id, place::int as place, tag, tier from k where place <= 5""",
+    "undecided_tags": f"""with {_CAND}, {_APPROVED} select tag, count(distinct id) as n from els where tag not in (select tag from approved) and not (tag in {_in(INSTRUMENTS + META + MOODS)}
+      or regexp_matches(tag, '{DECADE.replace("'", "''")}') or regexp_matches(tag, '{LABEL}') or regexp_matches(tag, '{NUMERIC.replace("'", "''")}')) group by 1""",
+    "label_overlap": f"""with {_HELD}, {_CAND}, {_OWNED}, s as (select distinct artist_id, lower(trim(tag)) as tag from held where trim(tag) <> ''),
+      n as (select artist_id, count(s.tag) as scored, count(o.tag) as human, count(s.tag || o.tag) as common from s full join owned o using (artist_id, tag) group by 1) select *, round(common / least(scored, human), 4) as share from n where scored > 0 and human > 0""",
+    "auc_rank_sum": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, w as (select a.model, sum(a.pos * b.neg * case when b.at < a.at then 1 when b.at = a.at then 0.5 else 0 end)::double as won from jc a join jc b using (model) group by 1),
+      t as (select model, sum(pos)::bigint as pos, sum(neg)::bigint as neg from jc group by 1) select model, pos, neg, round(won / (pos * neg), 6) as auc from t join w using (model) where pos > 0 and neg > 0""",
+    "threshold_grid": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, s as (select model, b / 20 as bar, coalesce(sum(pos) filter (where at >= b / 20), 0)::bigint as tp, coalesce(sum(neg) filter (where at >= b / 20), 0)::bigint as fp, sum(pos) as p from jc, range(1, 20) r(b) group by all)
+      select model, bar, tp, fp, round(tp / nullif(tp + fp, 0), 6) as precision, round(tp / nullif(p, 0), 6) as recall from s""",
 }
 _walk, _last = SQL["genre_token_recovery"].rsplit("group by 1", 1)
 _before, _after = _walk.split("select w.tag, string_agg(s.gram, '|' order by w.k) as genres")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import signals
 from ..session import table
 
-#: Vectors up to which one side of an exact comparison is sent to every task; more are joined in blocks.
-BROADCAST_VECTORS = 100_000
+#: About how many vectors a block of an exact search holds.
+BLOCK_ROWS = 2048
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -71,40 +73,48 @@ def label_separation(spark, sf_dir: str) -> DataFrame:
     return one.select(F.round(intra, 5).alias("intra"), F.round(inter, 5).alias("inter"), F.round(intra - inter, 5).alias("separation"))
 
 
-def _best_against(k: int, shared):
-    """The k most similar of the shared vectors for each row of a batch, ties by id."""
-
-    def run(batches):
-        ids, m = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = batch.column(0).to_numpy()
-            q = np.stack(batch.column(1).to_pylist()).astype(np.float64)
-            q /= np.linalg.norm(q, axis=1, keepdims=True)
-            for a in range(0, len(q), 512):
-                sims = np.round(q[a : a + 512] @ m.T, 6)
-                sims[own[a : a + 512][:, None] == ids[None, :]] = -2
-                order = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, :k]
-                n, width = order.shape
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(own[a : a + n], width)), pa.array(ids[order].ravel()), pa.array(np.take_along_axis(sims, order, 1).ravel()), pa.array(np.tile(np.arange(1, width + 1, dtype=np.int32), n))],
-                    names=["vec_id", "near_id", "sim", "place"],
-                )
+def _best_of_tile(k: int):
+    """The k most similar rows of one tile for each of its queries, ties by id, a row itself left out."""
+
+    def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        out = {"vec_id": [], "near_id": [], "sim": []}
+        if asked.num_rows and rows.num_rows:
+            own, ids = asked.column("vec_id").to_numpy(), rows.column("near_id").to_numpy()
+            q, m = (np.stack(t.column("v").to_numpy()) for t in (asked, rows))
+            sims = np.round(q @ m.T, 6)
+            sims[own[:, None] == ids[None, :]] = -2
+            order = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, :k]
+            width = order.shape[1]
+            out = {"vec_id": np.repeat(own, width), "near_id": ids[order].ravel(), "sim": np.take_along_axis(sims, order, 1).ravel()}
+        found = pa.table(out, schema=pa.schema([("vec_id", pa.int64()), ("near_id", pa.int64()), ("sim", pa.float64())]))
+        return found.filter(pc.greater(found["sim"], -1.5))
 
     return run
 
 
+def block_search(asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(vec_id, near_id, sim, place): the k rows with the greatest product with each of the queries, exactly.
+
+    Both sides hold (vec_id, v). They are cut into blocks of about ``BLOCK_ROWS`` rows by
+    the hash of the id; each pair of blocks is one tile of bounded size in one task, and
+    the k best of each tile are merged. Nothing is broadcast or collected. Vectors must
+    have one length; an empty side gives no rows.
+    """
+    counts = [max(1, -(-side.count() // BLOCK_ROWS)) for side in (asked, rows)]
+    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.select("vec_id", "v", block(counts[0]).alias("a"), all_of(counts[1]).alias("b"))
+    right = rows.select(F.col("vec_id").alias("near_id"), "v", block(counts[1]).alias("b"), all_of(counts[0]).alias("a"))
+    tiles = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_best_of_tile(k), "vec_id bigint, near_id bigint, sim double")
+    place = F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("sim"), "near_id"))
+    return tiles.withColumn("place", place).where(F.col("place") <= k)
+
+
 def knn_table(spark, sf_dir: str, k: int) -> DataFrame:
-    """(vec_id, near_id, sim, place): exact neighbours among the ``embeddings``, whose number is checked before they are sent out."""
+    """Neighbours by cosine of every vector of the ``embeddings`` whose id is divisible by 20, among all of them."""
     rows = table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", "embedding").dropDuplicates(["vec_id"])
-    if rows.count() > BROADCAST_VECTORS:
-        raise ValueError("more vectors than an exact comparison takes; use the block join")
-    side = rows.toPandas()
-    m = np.stack(side["embedding"]).astype(np.float64)
-    shared = spark.sparkContext.broadcast((side["vec_id"].to_numpy(), m / np.linalg.norm(m, axis=1, keepdims=True)))
-    spread = rows.repartition(spark.sparkContext.defaultParallelism)
-    return spread.mapInArrow(_best_against(k, shared), "vec_id bigint, near_id bigint, sim double, place int")
+    unit = rows.withColumn("len", norm(F.col("embedding"))).where("len > 0").select("vec_id", F.transform("embedding", lambda x: x / F.col("len")).alias("v"))
+    return block_search(unit.where("vec_id % 20 = 0"), unit, k)
 
 
 def knn_topk(spark, sf_dir: str) -> DataFrame:
@@ -126,14 +136,61 @@ def knn_label_votes(spark, sf_dir: str) -> DataFrame:
     return ranked.where("rn = 1 and total > 0").select("vec_id", "label", F.round(F.col("vote") / F.col("total"), 4).alias("share"))
 
 
+def mean_alignment(spark, sf_dir: str) -> DataFrame:
+    """(artist_id, model, d): the cosine of each artist's vector with its model's mean direction."""
+    rows = sound_vectors(spark, sf_dir)
+    means = mean_vector(rows, ["model"]).groupBy("model").agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m"))  # as long as a vector
+    joined = rows.join(means.select("model", F.col("m.mean").alias("m")), "model")
+    return joined.select("artist_id", "model", F.round(dot(F.col("v"), F.col("m")) / (norm(F.col("v")) * norm(F.col("m"))), 4).alias("d"))
+
+
+def label_scorecards(spark, sf_dir: str) -> DataFrame:
+    """Per label the median, least, greatest and number of its vectors' cosines with its centroid, and the median's
+    margin over the nearest other label's centroid. Cosines count to four places, so a label's states are few."""
+    rows = table(spark, sf_dir, "embeddings").where("embedding is not null and label is not null").select("vec_id", "label", "embedding").dropDuplicates(["vec_id"])
+    cells = mean_vector(rows, ["label"], "embedding")
+    centre = cells.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m")).select("label", F.col("m.mean").alias("m"))
+    sim = F.round(dot(F.col("embedding"), F.col("m")) / (norm(F.col("embedding")) * norm(F.col("m"))), 4)
+    cards = rows.join(centre, "label").where(norm(F.col("embedding")) > 0).select("label", sim.alias("sim")).groupBy("label").agg(
+        F.median("sim").alias("mid"), F.min("sim").alias("low"), F.max("sim").alias("high"), F.count("*").alias("n")
+    )
+    length = cells.groupBy("label").agg(F.sqrt(F.sum(F.col("mean") * F.col("mean"))).alias("len"))
+    unit = cells.join(length, "label").select("label", "pos", (F.col("mean") / F.col("len")).alias("x"))
+    other = unit.withColumnRenamed("label", "other").withColumnRenamed("x", "y")
+    near = unit.join(other, "pos").where("label <> other").groupBy("label", "other").agg(F.sum(F.col("x") * F.col("y")).alias("c")).groupBy("label").agg(F.max("c").alias("near"))
+    return cards.join(near, "label", "left").select("label", F.round("mid", 5).alias("median"), "low", "high", "n", F.round(F.col("mid") - F.col("near"), 4).alias("margin"))
+
+
+def clip_soundness(spark, sf_dir: str) -> DataFrame:
+    """The arrays of the clips read as signals: per model and verdict, how many there are."""
+    clips = table(spark, sf_dir, "clip_embedding").select("id", "model", "embedding").where("embedding is not null and not exists(embedding, x -> x is null or isnan(x))").dropDuplicates(["id"])
+    return clips.groupBy("model", signals.soundness(F.col("embedding"), 20, 0.02, 0.0).alias("verdict")).agg(F.count("*").alias("n"))
+
+
+def equal_clips(spark, sf_dir: str) -> DataFrame:
+    """Clips of equal vectors, one row a clip with its class, the least id of the class, and the tracks it is under."""
+    clips = table(spark, sf_dir, "clip_embedding").where("embedding is not null").select("id", "track_id", "model", "embedding").dropDuplicates(["id"])
+    keyed = clips.select("id", "track_id", F.sha2(F.concat_ws(":", "model", F.col("embedding").cast("string")), 256).alias("k"))
+    classes = keyed.groupBy("k").agg(F.min("id").alias("class_id"), F.count("*").alias("members"), F.count_distinct("track_id").alias("tracks")).where("members > 1")
+    return keyed.join(classes, "k").select("id", "class_id", "members", "tracks")
+
+
+def sign_neighbours(spark, sf_dir: str) -> DataFrame:
+    """Of every vector with an id divisible by 20 the three with most coordinates of the same sign, and their share."""
+    rows = table(spark, sf_dir, "embeddings").where("embedding is not null and size(embedding) > 0").select("vec_id", "embedding").dropDuplicates(["vec_id"])
+    bits = rows.select("vec_id", F.transform("embedding", lambda x: F.when(x > 0, 1.0).otherwise(-1.0) / F.sqrt(F.size("embedding"))).alias("v"))
+    near = block_search(bits.where("vec_id % 20 = 0"), bits, 3)
+    return near.select("vec_id", "near_id", F.round((F.col("sim") + 1) / 2, 4).alias("likeness"), "place")
+
+
 _V = """h as (select *, row_number() over (partition by artist_id, model order by computed_at desc nulls last, dim desc, embedding desc) as rn from artist_embedding),
   sv as (select artist_id, model, embedding as v from h where rn = 1 and len(embedding) = dim and not list_bool_or(list_transform(embedding, lambda x: x is null or isnan(x) or isinf(x)))
     and list_sum(list_transform(embedding, lambda x: x::double * x::double)) > 0)"""
 _CELLS = "src as (select distinct id as artist_id, embedding_source as source from artist where embedding_source is not null), cells as (select source, model, pos, avg(x) as mean, count(*) as n from (select source, model, unnest(range(0, len(v))) as pos, unnest(v)::double as x from sv join src using (artist_id)) group by all)"
 _NEAR = """e as (select distinct on (vec_id) vec_id, label, list_transform(embedding, lambda x: x::double / sqrt(list_sum(list_transform(embedding, lambda y: y::double * y::double)))) as v from embeddings where embedding is not null),
-  s as (select a.vec_id, b.vec_id as near_id, b.label as near_label, a.label, round(list_inner_product(a.v, b.v), 6) as sim from e a join e b on a.vec_id <> b.vec_id),
+  s as (select a.vec_id, b.vec_id as near_id, b.label as near_label, a.label, round(list_inner_product(a.v, b.v), 6) as sim from e a join e b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
   k as (select *, row_number() over (partition by vec_id order by sim desc, near_id) as place from s)"""
-QUERIES = {f.__name__: f for f in (vector_norm_audit, source_centroids, source_coherence, label_separation, knn_topk, precision_at_1, knn_label_votes)}
+QUERIES = {f.__name__: f for f in (vector_norm_audit, source_centroids, source_coherence, label_separation, knn_topk, precision_at_1, knn_label_votes, mean_alignment, label_scorecards, clip_soundness, equal_clips, sign_neighbours)}
 SQL = {
     "vector_norm_audit": f"with {_V}, n as (select model, sqrt(list_sum(list_transform(v, lambda x: x::double * x::double))) as n from sv) select model, count(*) as vectors, count(*) filter (where n < 0.99 or n > 1.01) as off_norm from n group by 1",
     "source_centroids": f"with {_V}, {_CELLS}, l as (select source, model, sqrt(sum(mean * mean)) as len from cells group by all) select source, model, pos, round(mean / len, 5) as value, n from cells join l using (source, model)",
@@ -144,4 +201,19 @@ SQL = {
     "knn_topk": f"with {_NEAR} select vec_id, near_id, sim, place::int as place from k where place <= 5",
     "precision_at_1": f"with {_NEAR} select count(*) as n, round(avg((label = near_label)::int), 6) as precision from k where place = 1",
     "knn_label_votes": f"with {_NEAR}, v as (select vec_id, near_label as label, sum(greatest(sim, 0)) as vote from k where place <= 25 group by all), r as (select *, sum(vote) over (partition by vec_id) as total, row_number() over (partition by vec_id order by round(vote, 6) desc, label) as rn from v) select vec_id, label, round(vote / total, 4) as share from r where rn = 1 and total > 0",
+    "mean_alignment": f"""with {_V}, c as (select model, pos, avg(x) as mean from (select model, unnest(range(0, len(v))) as pos, unnest(v)::double as x from sv) group by all), m as (select model, list(mean order by pos) as m from c group by 1)
+      select artist_id, model, round(list_cosine_similarity(v::double[], m), 4) as d from sv join m using (model)""",
+    "label_scorecards": """with e as (select distinct on (vec_id) vec_id, label, embedding::double[] as v from embeddings where embedding is not null and label is not null),
+      c as (select label, pos, avg(x) as mean from (select label, unnest(range(0, len(v))) as pos, unnest(v) as x from e) group by all), m as (select label, list(mean order by pos) as m from c group by 1),
+      s as (select label, round(list_cosine_similarity(v, m), 4) as sim from e join m using (label)), k as (select label, median(sim) as mid, min(sim) as low, max(sim) as high, count(*) as n from s group by 1),
+      o as (select a.label, max(list_cosine_similarity(a.m, b.m)) as near from m a join m b on a.label <> b.label group by 1)
+      select label, round(mid, 5) as median, low, high, n, round(mid - near, 4) as margin from k left join o using (label)""",
+    "clip_soundness": """with c as (select distinct on (id) id, model, embedding as v from clip_embedding where embedding is not null and not list_bool_or(list_transform(embedding, lambda x: x is null or isnan(x)))),
+      r as (select model, len(v) as n, len(list_filter(v, lambda x: abs(x) < 1e-3::float)) as s, len(list_filter(v, lambda x: abs(x) > 0.99::float)) as k from c)
+      select model, case when n < 100 then 'short' when s > 0.02 * n then 'silent' when k > 0 then 'clipped' else 'ok' end as verdict, count(*) as n from r group by all""",
+    "equal_clips": """with c as (select distinct on (id) id, track_id, model, embedding as v from clip_embedding where embedding is not null), k as (select model, v, min(id) as class_id, count(*) as members, count(distinct track_id) as tracks from c group by all having count(*) > 1)
+      select c.id, class_id, members, tracks from c join k on c.model is not distinct from k.model and c.v = k.v""",
+    "sign_neighbours": """with e as (select distinct on (vec_id) vec_id, list_transform(embedding, lambda x: case when x > 0 then 1 else 0 end) as b from embeddings where embedding is not null and len(embedding) > 0),
+      s as (select a.vec_id, b.vec_id as near_id, list_sum(list_transform(list_zip(a.b, b.b), lambda p: case when p[1] = p[2] then 1 else 0 end)) / len(a.b)::double as likeness from e a join e b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+      k as (select *, row_number() over (partition by vec_id order by likeness desc, near_id) as place from s) select vec_id, near_id, round(likeness, 4) as likeness, place::int as place from k where place <= 3""",
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import entities, history, snapshots, tags, vectors
+from ..operators import entities, history, publishing, snapshots, tags, vectors
 
-_MODULES = [snapshots, tags, entities, vectors, history]
+_MODULES = [snapshots, tags, entities, vectors, history, publishing]
 
 
 def flagship(spark, sf_dir: str):
