@@ -11,6 +11,10 @@ from ..session import table
 from .ranks import placed
 
 
+#: Texts from which on an artist's texts are compared.
+LEAST_TEXTS = 3
+
+
 def slug_base(name: Column) -> Column:
     """A name as a slug: ASCII letters and digits, runs of others as one hyphen; "artist" if nothing is left."""
     flat = F.trim(F.regexp_replace(F.lower(ascii_fold(name)), r"[^a-z0-9]+", "-"), F.lit("-"))
@@ -183,7 +187,7 @@ def seeded_sample(spark, sf_dir: str) -> DataFrame:
 
 
 def text_forensics(spark, sf_dir: str) -> DataFrame:
-    """Artists with eight texts or more: how alike in length they are, how many are copies or end in a number, and a score of it, at most 1."""
+    """Artists with three texts or more: how alike in length they are, how many are copies or end in a number, and a score of it, at most 1."""
     docs = table(spark, sf_dir, "documents").where("artist_id is not null and text is not null").dropDuplicates(["doc_id"])
     digest = docs.select("artist_id", F.sha2("text", 256).alias("digest"), F.length("text").alias("len"), F.when(is_numbered(F.col("text")), 1.0).otherwise(0.0).alias("numbered"))
     per = digest.groupBy("artist_id", "digest").agg(F.count("*").alias("n"), F.max("len").alias("len"), F.max("numbered").alias("numbered"))
@@ -195,7 +199,7 @@ def text_forensics(spark, sf_dir: str) -> DataFrame:
     )
     add = lambda test, x: F.when(test, x).otherwise(0.0)
     points = F.when(F.col("cv") < 0.05, 0.4).when(F.col("cv") < 0.12, 0.2).otherwise(0.0) + add(F.col("numbered") >= 0.5, 0.25) + add(F.col("copies") >= 0.2, 0.2) + add(F.col("texts") >= 30, 0.15)
-    return rows.where("texts >= 8").withColumn("score", F.round(F.least(F.lit(1.0), points), 2))
+    return rows.where(F.col("texts") >= LEAST_TEXTS).withColumn("score", F.round(F.least(F.lit(1.0), points), 2))
 
 
 def plain_name_series(spark, sf_dir: str) -> DataFrame:
@@ -246,7 +250,7 @@ SQL = {
     "seeded_sample": "select doc_id, md5('7:' || doc_id::varchar) as h from (select distinct doc_id from documents) order by h, doc_id limit 100",
     "text_forensics": r"""with d as (select distinct on (doc_id) artist_id, text, len(text) as n, (regexp_matches(text, '(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{1,3})\s*$'))::int as num from documents where artist_id is not null and text is not null),
       r as (select artist_id, count(*) as texts, round(stddev_pop(n) / greatest(avg(n), 1), 4) as cv, round(avg(num), 4) as numbered, round(1 - count(distinct sha256(text)) / count(*), 4) as copies from d group by 1)
-      select *, round(least(1.0, (case when cv < 0.05 then 0.4 when cv < 0.12 then 0.2 else 0 end) + (case when numbered >= 0.5 then 0.25 else 0 end) + (case when copies >= 0.2 then 0.2 else 0 end) + (case when texts >= 30 then 0.15 else 0 end))::double, 2) as score from r where texts >= 8""",
+      select *, round(least(1.0, (case when cv < 0.05 then 0.4 when cv < 0.12 then 0.2 else 0 end) + (case when numbered >= 0.5 then 0.25 else 0 end) + (case when copies >= 0.2 then 0.2 else 0 end) + (case when texts >= 30 then 0.15 else 0 end))::double, 2) as score from r where texts >= 3""",
     "plain_name_series": rf"""with {_A}, {_C}, n as (select display_name as name from a union all select band_name from c),
       f as (select name, strip_accents(regexp_replace(name, '[^\x00-\x7F\p{{L}}\p{{N}}\p{{M}}]', ' ', 'g')) as s from n), g as (select name, regexp_replace(regexp_replace(regexp_replace(s, '[^\x00-\x7F]', '', 'g'), '(?i)\((feat|ft|with|prod)[^)]*\)', '', 'g'), '(?i)\b(feat|ft)\.?\s.+$', '') as t from f),
       h as (select trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) as plain, regexp_matches(name, '(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{{1,3}})\s*$') as numbered from g)

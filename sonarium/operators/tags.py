@@ -352,17 +352,17 @@ SQL = {
     "calibrated_tags_topk": f"""with {_HELD} select artist_id, tag, model, round((score - case when n >= 20 then mean else gmean end) / case when n >= 20 then sd else gsd end, 6) as z
       from held left join mom using (tag, model) join gm using (model) order by z desc, artist_id, tag, model limit 100""",
     "human_tag_tier": f"with {_CAND}, {_OWNED}, k as (select *, row_number() over (partition by artist_id order by tag) as place from owned) select artist_id, tag, place::int as place from k where place <= 10",
-    "human_then_scored": f"""with {_HELD}, {_CAND}, {_OWNED}, t as (select *, row_number() over (partition by artist_id order by tag)::double as at from owned),
-      u as (select artist_id, tag, 0 as tier, at from t where at <= 10 union all select artist_id, lower(trim(tag)), 1, -max(score) from held where trim(tag) <> '' group by 1, 2),
-      o as (select *, row_number() over (partition by artist_id, tag order by tier, at) as rn from u), k as (select *, row_number() over (partition by artist_id order by tier, at, tag) as place from o where rn = 1)
-      select artist_id, place::int as place, tag, tier from k where place <= 5""",
+    "human_then_scored": f"""with {_HELD}, {_CAND}, {_OWNED}, t as (select *, row_number() over (partition by artist_id order by tag)::double as k from owned),
+      u as (select artist_id, tag, 0 as tier, k from t where k <= 10 union all select artist_id, lower(trim(tag)), 1, -max(score) from held where trim(tag) <> '' group by 1, 2),
+      o as (select *, row_number() over (partition by artist_id, tag order by tier, k) as rn from u), z as (select *, row_number() over (partition by artist_id order by tier, k, tag) as place from o where rn = 1)
+      select artist_id, place::int as place, tag, tier from z where place <= 5""",
     "undecided_tags": f"""with {_CAND}, {_APPROVED} select tag, count(distinct id) as n from els where tag not in (select tag from approved) and not (tag in {_in(INSTRUMENTS + META + MOODS)}
       or regexp_matches(tag, '{DECADE.replace("'", "''")}') or regexp_matches(tag, '{LABEL}') or regexp_matches(tag, '{NUMERIC.replace("'", "''")}')) group by 1""",
     "label_overlap": f"""with {_HELD}, {_CAND}, {_OWNED}, s as (select distinct artist_id, lower(trim(tag)) as tag from held where trim(tag) <> ''),
       n as (select artist_id, count(s.tag) as scored, count(o.tag) as human, count(s.tag || o.tag) as common from s full join owned o using (artist_id, tag) group by 1) select *, round(common / least(scored, human), 4) as share from n where scored > 0 and human > 0""",
     "auc_rank_sum": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, w as (select a.model, sum(a.pos * b.neg * case when b.at < a.at then 1 when b.at = a.at then 0.5 else 0 end)::double as won from jc a join jc b using (model) group by 1),
       t as (select model, sum(pos)::bigint as pos, sum(neg)::bigint as neg from jc group by 1) select model, pos, neg, round(won / (pos * neg), 6) as auc from t join w using (model) where pos > 0 and neg > 0""",
-    "threshold_grid": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, s as (select model, b / 20 as bar, coalesce(sum(pos) filter (where at >= b / 20), 0)::bigint as tp, coalesce(sum(neg) filter (where at >= b / 20), 0)::bigint as fp, sum(pos) as p from jc, range(1, 20) r(b) group by all)
+    "threshold_grid": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, s as (select model, b / 20 as bar, coalesce(sum(pos) filter (where jc.at >= b / 20), 0)::bigint as tp, coalesce(sum(neg) filter (where jc.at >= b / 20), 0)::bigint as fp, sum(pos) as p from jc, range(1, 20) r(b) group by all)
       select model, bar, tp, fp, round(tp / nullif(tp + fp, 0), 6) as precision, round(tp / nullif(p, 0), 6) as recall from s""",
 }
 _walk, _last = SQL["genre_token_recovery"].rsplit("group by 1", 1)

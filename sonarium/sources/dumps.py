@@ -57,3 +57,57 @@ def platform_tracks(bodies: DataFrame, body: str, owner: str) -> DataFrame:
     rows = bodies.select(owner, F.explode(F.from_json(body, schema)["data"]).alias("t"))
     kept = rows.where((F.col("t.artist.id").cast("string") == F.col(owner)) & (F.coalesce("t.preview", F.lit("")) != ""))
     return kept.select(owner, F.col("t.id").alias("id"), "t.title", "t.preview", "t.duration")
+
+
+def page_json(html: Column, attribute: str, schema: str) -> Column:
+    """The JSON that an attribute of a page holds, as a struct of ``schema``; null where there is none."""
+    raw = F.nullif(F.regexp_extract(html, f'{attribute}="([^"]*)"', 1), F.lit(""))
+    return F.from_json(unescape_html(raw), schema)
+
+
+def album_tracks(releases: DataFrame, html: str, keys: list[str]) -> DataFrame:
+    """(keys, id, title, seconds, stream, track_artist, track_index) of the tracks of release pages that can be
+    played: those with a stream, a length and an id. ``track_artist`` is null where it is the page's own."""
+    schema = "artist string, trackinfo array<struct<track_id:bigint,id:bigint,title:string,duration:double,artist:string,file:map<string,string>>>"
+    rows = releases.select(*keys, page_json(F.col(html), "data-tralbum", schema).alias("page")).select(*keys, "page.artist", F.posexplode("page.trackinfo").alias("track_index", "t"))
+    stream = F.col("t.file")["mp3-128"]
+    kept = rows.select(
+        *keys, F.coalesce("t.track_id", "t.id").cast("string").alias("id"), F.coalesce("t.title", F.lit("")).alias("title"), F.col("t.duration").cast("int").alias("seconds"), stream.alias("stream"),
+        F.when(F.col("t.artist") != F.col("artist"), F.col("t.artist")).alias("track_artist"), "track_index",
+    )
+    return kept.where("stream <> '' and seconds > 0 and id is not null")
+
+
+def page_tags(html: Column) -> Column:
+    """The tags people gave on a page, in order, in lower case and each once, without the name of its city."""
+    city = F.lower(F.trim(F.split(unescape_html(F.regexp_extract(html, r'class="location[^"]*"[^>]*>([^<]*)<', 1)), ",")[0]))
+    raw = F.regexp_extract_all(html, F.lit(r'<a[^>]*class="tag"[^>]*>([^<]*)<'), F.lit(1))
+    return F.array_distinct(F.filter(F.transform(raw, lambda t: F.lower(F.trim(unescape_html(t)))), lambda t: (t != "") & (t != city)))
+
+
+def streamable_tracks(bodies: DataFrame, body: str, keys: list[str]) -> DataFrame:
+    """(keys, id, title, seconds, stream) of a JSON list of tracks: those with leave and an address to be streamed; lengths there are in milliseconds."""
+    schema = "collection array<struct<id:bigint,title:string,duration:bigint,streamable:boolean,stream_url:string>>"
+    rows = bodies.select(*keys, F.posexplode(F.from_json(body, schema)["collection"]).alias("track_index", "t"))
+    kept = rows.where("t.streamable and t.stream_url <> ''")
+    return kept.select(*keys, F.col("t.id").cast("string").alias("id"), "t.title", F.floor(F.col("t.duration") / 1000).cast("int").alias("seconds"), F.col("t.stream_url").alias("stream"), "track_index")
+
+
+def entries_of_length(bodies: DataFrame, body: str, keys: list[str], least: int = 120, most: int = 480, newest: int = 15) -> DataFrame:
+    """(keys, id, title, seconds) of the entries of a JSON list, newest first, whose length lies between the bounds."""
+    schema = "entries array<struct<id:string,title:string,duration:double>>"
+    rows = bodies.select(*keys, F.posexplode(F.slice(F.from_json(body, schema)["entries"], 1, newest)).alias("place", "e"))
+    return rows.where(F.col("e.duration").between(least, most)).select(*keys, "e.id", "e.title", F.col("e.duration").cast("int").alias("seconds"), "place")
+
+
+def cache_key(url: Column, body: Column, bucket: Column) -> Column:
+    """The key of a cached reply: the address, with a digest of what was posted and a bucket of time where there are such."""
+    posted = F.when(body.isNotNull(), F.concat(F.lit("#post:"), F.substring(F.sha2(body, 256), 1, 24)))
+    return F.concat(url, F.coalesce(posted, F.lit("")), F.coalesce(F.concat(F.lit(":"), bucket), F.lit("")))
+
+
+def sound_kind(head: Column) -> Column:
+    """The format of a sound file by its first bytes: mp3, wav, ogg or flac; null for anything else."""
+    start = F.hex(F.substring(head, 1, 4))
+    mp3 = start.startswith("494433") | start.rlike("^FF[EF]")
+    return F.when(mp3, "mp3").when(start == "52494646", "wav").when(start == "4F676753", "ogg").when(start == "664C6143", "flac")

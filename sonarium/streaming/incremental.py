@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.history import latest_wins
 
@@ -44,3 +47,20 @@ def windowed_counts(stream: DataFrame, time: str, key: str, width: str = "6 hour
     """Counts of each key in tumbling windows; rows later than ``late`` are dropped."""
     counted = stream.withWatermark(time, late).groupBy(F.window(time, width), key).agg(F.count("*").alias("n"))
     return counted.select(F.col("window.start").alias("start"), key, "n")
+
+
+def _judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    before = state.get[0] if state.exists else 0
+    now = before + sum(len(b) for b in batches)
+    state.update((now,))
+    if now > before:
+        yield pd.DataFrame({"key": [key[0]], "before": [before], "n": [now]})
+
+
+def gate_grown(stream: DataFrame, key: str) -> DataFrame:
+    """(key, before, n): in each batch the keys that are new or grew, with their numbers of rows; a null key is left out.
+
+    Only the number of rows is kept for a key, and a hot key's rows arrive in Arrow batches, never at once.
+    """
+    keyed = stream.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key"))
+    return keyed.groupBy("key").applyInPandasWithState(_judge, "key string, before long, n long", "n long", "update", GroupStateTimeout.NoTimeout)
