@@ -55,7 +55,7 @@ STRICT = "|".join([
     r"lorem ipsum", r"\bconsectetur\b", r"dolor sit amet", r"\bblindtext\b", r"\b(?:dummy|sample|mock|filler|placeholder) (?:text|content|biography|paragraph|copy)\b", r"(?:description|text|bio|biography|content|story) goes here",
     r"replace (?:this|with)\b.{0,30}\btext\b|replace this text", r"\bclick to edit\b", r"add your (?:first|own) ", r"write two or three sentences", r"paste (?:the|your) .{0,40}here", r"texte provisoire", r"texto provisorio",
     r"texto de (?:ejemplo|exemplo)", r"sustituir antes", r"a remplacer par", r"bitte ersetzen", r"hier steht spater", r"текст-заполнитель|здесь будет текст|текст будет|ここに(?:テキスト|文章)|ダミーテキスト|仮のテキスト",
-    r"\btodo\b", r"coming soon coming soon", r"\basdf\b", r"\bfoo bar\b", r"^\W*(?:null|undefined|nan|\[object object\])\W*$", r"\[object object\]", r"\bxxx+ xxx+", r"\bblah blah\b",
+    r"\(ignore(?: this| me)?\)", r"\btodo\b", r"coming soon coming soon", r"\basdf\b", r"\bfoo bar\b", r"^\W*(?:null|undefined|nan|\[object object\])\W*$", r"\[object object\]", r"\bxxx+ xxx+", r"\bblah blah\b",
     r"\b(?:type|insert|enter|put|paste|write|add|replace)\b.{0,60}\b(?:in this (?:box|field)|before publishing|here\b\W*$)",
     r"^\W*(?:type|insert|enter|put|paste|write|add|replace)\b.{0,40}\b(?:bio|summary|headline|description|text|paragraph|liner notes|caption|story|photo)\b.{0,40}$",
     r"\bexample (?:copy|paragraph|text|biography|content)", r"(?:playlist|album|profile|release|track|artist|page) you asked for", r"^\W*(?:text[\s.]+){3,}",
@@ -76,7 +76,7 @@ your name here|your text here|your bio here|provis|ejemplo|exemplo|beispiel|some
 uncaught|no such|not available|acceso|acces refuse|zugriff|tente nov|intentelo|spater|reessayez|removed or|enlace|страниц|попробуйте|ページ|
 start page|consec|blindtext|sample |mock |example|click to| here|in this box|in this field|before publishing|add your|paste |replace |remplacer|ersetzen|hier steht|текст|
 テキスト|文章|todo|coming soon|asdf|foo bar|write two|undefined|[object|xxx|blah|bla...|permission|
-upstream|reset|timed out|refused|you asked|too many|gone|server| sit |amet
+upstream|reset|timed out|refused|you asked|too many|gone|server| sit |amet|(ignore
 """.replace("\n", "").split("|")
 _ACCENTS = str.maketrans("áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
 _QUOTED = re.compile(r"\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|„[^“”\n]{1,80}[“”]|«[^»\n]{1,80}»|「[^」\n]{1,80}」")
