@@ -11,6 +11,8 @@ from ..session import table
 from .ranks import placed
 
 
+#: A sign that isn't white space of any kind.
+NOT_BLANK = r"[^\s\x0B\p{Z}]"
 #: Texts from which on an artist's texts are compared.
 LEAST_TEXTS = 3
 
@@ -67,15 +69,10 @@ def name_keys_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def typo1_pairs(spark, sf_dir: str) -> DataFrame:
-    """Tags one edit apart. Equal halves lead to each pair: an edit leaves one half, counted from its end, untouched."""
+    """Tags one edit apart. Both lead to a common key: the tag itself, or what is left of it without one character."""
     tags = table(spark, sf_dir, "artist_tag_scores").select(F.lower(F.trim("tag")).alias("tag")).where("length(tag) >= 4").distinct()
-    half = F.floor(F.length("tag") / 2).cast("int")
-    keys = tags.select("tag", F.explode(F.array_distinct(F.array(
-        F.concat(F.lit("p"), F.substring("tag", F.lit(1), half)), F.concat(F.lit("p"), F.substring("tag", F.lit(1), F.floor((F.length("tag") - 1) / 2).cast("int"))),
-        F.concat(F.lit("p"), F.substring("tag", F.lit(1), F.floor((F.length("tag") + 1) / 2).cast("int"))),
-        F.concat(F.lit("s"), F.expr("right(tag, int(length(tag) - floor(length(tag) / 2)))")), F.concat(F.lit("s"), F.expr("right(tag, int(length(tag) - 1 - floor((length(tag) - 1) / 2)))")),
-        F.concat(F.lit("s"), F.expr("right(tag, int(length(tag) - 1 - floor(length(tag) / 2)))")), F.concat(F.lit("s"), F.expr("right(tag, int(length(tag) - floor((length(tag) + 1) / 2)))")),
-    ))).alias("key"))
+    cut = F.transform(F.sequence(F.lit(0), F.length("tag")), lambda i: F.xxhash64(F.concat(F.substring("tag", F.lit(1), i), F.substr(F.col("tag"), i + 2))))
+    keys = tags.select("tag", F.explode(F.array_distinct(cut)).alias("key"))
     a, b = keys.select(F.col("tag").alias("tag_a"), "key"), keys.select(F.col("tag").alias("tag_b"), "key")
     near = a.join(b, "key").where("tag_a < tag_b and abs(length(tag_a) - length(tag_b)) <= 1").select("tag_a", "tag_b").distinct()
     return near.where("levenshtein(tag_a, tag_b, 1) = 1")
@@ -162,7 +159,7 @@ def majority_language(spark, sf_dir: str) -> DataFrame:
 
 def exact_duplicate_texts(spark, sf_dir: str) -> DataFrame:
     """Texts that occur in several documents: class, members and sources."""
-    docs = table(spark, sf_dir, "documents").where("trim(text) <> ''").select("doc_id", "source", F.sha2("text", 256).alias("digest")).distinct()
+    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(NOT_BLANK)).select("doc_id", "source", F.sha2("text", 256).alias("digest")).distinct()
     return docs.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"), F.count_distinct("source").alias("sources")).where("n > 1")
 
 
@@ -225,7 +222,7 @@ SQL = {
     "name_keys_dedup": f"""with {_A}, {_C}, k as (select regexp_replace({_ASCII.format('display_name')}, '[^a-z0-9]+', '', 'g') as key, 1 as own from a union all select regexp_replace({_ASCII.format('band_name')}, '[^a-z0-9]+', '', 'g'), 0 from c)
       select key, count(*) as n, sum(own)::bigint as artists from k where key <> '' group by 1 having count(*) > 1""",
     "unique_name_match": f"with {_A}, {_C}, k as (select {_KEY.format('display_name')} as key, min(id) as artist_id from a group by 1 having count(*) = 1) select c.id, k.key, k.artist_id from c join k on k.key = {_KEY.format('c.band_name')} where k.key <> ''",
-    "typo1_pairs": "with t as (select distinct lower(trim(tag)) as tag from artist_tag_scores where len(lower(trim(tag))) >= 4) select x.tag as tag_a, y.tag as tag_b from t x join t y on x.tag < y.tag and abs(len(x.tag) - len(y.tag)) <= 1 where levenshtein(x.tag, y.tag) = 1",
+    "typo1_pairs": "with t as (select distinct lower(trim(tag, ' ')) as tag from artist_tag_scores where len(lower(trim(tag, ' '))) >= 4) select x.tag as tag_a, y.tag as tag_b from t x join t y on x.tag < y.tag and abs(len(x.tag) - len(y.tag)) <= 1 where levenshtein(x.tag, y.tag) = 1",
     "vanity_extract": f"with {_P}, {_OWNERS} select id, host, owner from o where host is not null and owner is not null",
     "shared_url_losers": f"""with {_P}, {_OWNERS}, k as (select id, platform, first_seen_at, {_KEY.format('owner')} as owner from o where host is not null and owner is not null),
       r as (select *, row_number() over w as rn, first(id) over w as winner from k window w as (partition by platform, owner order by first_seen_at nulls first, id)) select platform, owner, id as loser, winner from r where rn > 1""",
@@ -241,8 +238,8 @@ SQL = {
       k as (select *, row_number() over (partition by artist_id order by again, first_seen_at nulls first, id) as place from r) select artist_id, id, platform, place::int as place from k where place <= 3""",
     "majority_language": """with d as (select distinct doc_id, artist_id, lower(lang) as lang from documents where artist_id is not null and lang is not null), c as (select artist_id, lang, count(*) as n from d group by all),
       r as (select *, sum(n) over (partition by artist_id) as total, row_number() over (partition by artist_id order by n desc, lang) as rn from c) select artist_id, lang, n, round(n / total, 4) as share from r where rn = 1 and total >= 2 and n >= 0.6 * total""",
-    "exact_duplicate_texts": "select digest, min(doc_id) as first_doc, count(*) as n, count(distinct source) as sources from (select distinct doc_id, source, sha256(text) as digest from documents where trim(text) <> '') group by 1 having count(*) > 1",
-    "catalogue_audit": f"""with {_A}, {_P}, e as (select * from artist_embedding) select 'blank_names' as what, count(*) as n from a where trim(coalesce(display_name, '')) = ''
+    "exact_duplicate_texts": r"select digest, min(doc_id) as first_doc, count(*) as n, count(distinct source) as sources from (select distinct doc_id, source, sha256(text) as digest from documents where regexp_matches(text, '[^\s\x0B\p{Z}]')) group by 1 having count(*) > 1",
+    "catalogue_audit": f"""with {_A}, {_P}, e as (select * from artist_embedding) select 'blank_names' as what, count(*) as n from a where trim(coalesce(display_name, ''), ' ') = ''
       union all select 'shared_keys', count(*) from (select 1 from a group by {_KEY.format("coalesce(display_name, '')")} having count(*) > 1)
       union all select 'orphan_pages', count(*) from p where artist_id is not null and artist_id not in (select id from a)
       union all select 'owned_unknown', count(*) from p where (page_type in ('artist', 'topic')) <> (artist_id is not null)

@@ -299,10 +299,10 @@ mom as (select tag, model, avg(score) as mean, greatest(stddev_samp(score), 1e-6
 gm as (select model, avg(score) as gmean, greatest(coalesce(stddev_samp(score), 1e-6), 1e-6) as gsd, count(distinct artist_id) as artists from held group by 1),
 cal as (select h.*, (score - coalesce(mean, gmean)) / coalesce(sd, gsd) as z, ln(artists::double / greatest(coalesce(n, 1), 1)) as idf, coalesce(n, 0) / artists::double as rate
   from held h left join mom using (tag, model) join gm using (model))"""
-_CAND = "cand as (select id, max(tags) as tags, max(artist_id) as artist_id from bc_candidate where id is not null group by 1), els as (select * from (select id, lower(trim(tag)) as tag from (select id, unnest(tags) as tag from cand)) where tag <> '')"
+_CAND = "cand as (select id, max(tags) as tags, max(artist_id) as artist_id from bc_candidate where id is not null group by 1), els as (select * from (select id, lower(trim(tag, ' ')) as tag from (select id, unnest(tags) as tag from cand)) where tag <> '')"
 _SHARES = "shares as (select model, tag, count(distinct artist_id) / max(artists)::double as share from held join gm using (model) group by all), humans as (select tag, count(distinct id) as humans from els group by 1), magnets as (select model, tag, share, coalesce(humans, 0) as humans from shares left join humans using (tag) where share > 0.08 and coalesce(humans, 0) < 100)"
 _OWNED = "owned as (select distinct artist_id, tag from els join cand using (id) where artist_id is not null)"
-_JUDGED = "jc as (select model, round(score, 4) as at, count(*) filter (where o.tag is not null) as pos, count(*) filter (where o.tag is null) as neg from (select * from held where artist_id in (select artist_id from owned)) h left join owned o on o.artist_id = h.artist_id and o.tag = lower(trim(h.tag)) group by all)"
+_JUDGED = "jc as (select model, round(score, 4) as at, count(*) filter (where o.tag is not null) as pos, count(*) filter (where o.tag is null) as neg from (select * from held where artist_id in (select artist_id from owned)) h left join owned o on o.artist_id = h.artist_id and o.tag = lower(trim(h.tag, ' ')) group by all)"
 _APPROVED = "approved as (select tag from els where len(string_split_regex(tag, '[-_/ ]+')) <= 2 group by tag having count(distinct id) >= 5)"
 
 
@@ -335,7 +335,7 @@ SQL = {
       select model, round(avg(n), 6) as mean_magnets, count(*) as artists from p group by 1""",
     "tag_frequency": f"with {_CAND} select tag, count(*) as n from els group by 1",
     "alias_fold": f"with {_CAND} select id, {_CANON} as tag, count(*) as weight from els group by all",
-    "human_tier_union": f"""with {_HELD}, {_CAND}, b as (select * from (select distinct artist_id, lower(trim(tag)) as tag, 3 as weight from held) where tag <> '' union all select distinct artist_id, tag, 1 from els join cand using (id) where artist_id is not null),
+    "human_tier_union": f"""with {_HELD}, {_CAND}, b as (select * from (select distinct artist_id, lower(trim(tag, ' ')) as tag, 3 as weight from held) where tag <> '' union all select distinct artist_id, tag, 1 from els join cand using (id) where artist_id is not null),
       s as (select artist_id, tag, sum(weight) as weight from b group by all), k as (select *, row_number() over (partition by artist_id order by weight desc, tag) as place from s)
       select artist_id, tag, weight::bigint as weight, place::int as place from k where place <= 10""",
     "genre_token_recovery": f"""with recursive {_CAND}, {_APPROVED}, loose as (select distinct tag, list_filter(string_split_regex(regexp_replace(tag, '[-_/]+', ' ', 'g'), '\\s+'), lambda w: w <> '') as w from els where tag not in (select tag from approved)),
@@ -353,12 +353,12 @@ SQL = {
       from held left join mom using (tag, model) join gm using (model) order by z desc, artist_id, tag, model limit 100""",
     "human_tag_tier": f"with {_CAND}, {_OWNED}, k as (select *, row_number() over (partition by artist_id order by tag) as place from owned) select artist_id, tag, place::int as place from k where place <= 10",
     "human_then_scored": f"""with {_HELD}, {_CAND}, {_OWNED}, t as (select *, row_number() over (partition by artist_id order by tag)::double as k from owned),
-      u as (select artist_id, tag, 0 as tier, k from t where k <= 10 union all select artist_id, lower(trim(tag)), 1, -max(score) from held where trim(tag) <> '' group by 1, 2),
+      u as (select artist_id, tag, 0 as tier, k from t where k <= 10 union all select artist_id, lower(trim(tag, ' ')), 1, -max(score) from held where trim(tag, ' ') <> '' group by 1, 2),
       o as (select *, row_number() over (partition by artist_id, tag order by tier, k) as rn from u), z as (select *, row_number() over (partition by artist_id order by tier, k, tag) as place from o where rn = 1)
       select artist_id, place::int as place, tag, tier from z where place <= 5""",
     "undecided_tags": f"""with {_CAND}, {_APPROVED} select tag, count(distinct id) as n from els where tag not in (select tag from approved) and not (tag in {_in(INSTRUMENTS + META + MOODS)}
       or regexp_matches(tag, '{DECADE.replace("'", "''")}') or regexp_matches(tag, '{LABEL}') or regexp_matches(tag, '{NUMERIC.replace("'", "''")}')) group by 1""",
-    "label_overlap": f"""with {_HELD}, {_CAND}, {_OWNED}, s as (select distinct artist_id, lower(trim(tag)) as tag from held where trim(tag) <> ''),
+    "label_overlap": f"""with {_HELD}, {_CAND}, {_OWNED}, s as (select distinct artist_id, lower(trim(tag, ' ')) as tag from held where trim(tag, ' ') <> ''),
       n as (select artist_id, count(s.tag) as scored, count(o.tag) as human, count(s.tag || o.tag) as common from s full join owned o using (artist_id, tag) group by 1) select *, round(common / least(scored, human), 4) as share from n where scored > 0 and human > 0""",
     "auc_rank_sum": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, w as (select a.model, sum(a.pos * b.neg * case when b.at < a.at then 1 when b.at = a.at then 0.5 else 0 end)::double as won from jc a join jc b using (model) group by 1),
       t as (select model, sum(pos)::bigint as pos, sum(neg)::bigint as neg from jc group by 1) select model, pos, neg, round(won / (pos * neg), 6) as auc from t join w using (model) where pos > 0 and neg > 0""",

@@ -141,7 +141,8 @@ def mean_alignment(spark, sf_dir: str) -> DataFrame:
     rows = sound_vectors(spark, sf_dir)
     means = mean_vector(rows, ["model"]).groupBy("model").agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m"))  # as long as a vector
     joined = rows.join(means.select("model", F.col("m.mean").alias("m")), "model")
-    return joined.select("artist_id", "model", F.round(dot(F.col("v"), F.col("m")) / (norm(F.col("v")) * norm(F.col("m"))), 4).alias("d"))
+    d = F.round(dot(F.col("v"), F.col("m")) / (norm(F.col("v")) * norm(F.col("m"))), 4)
+    return joined.select("artist_id", "model", F.when(d == 0, 0.0).otherwise(d).alias("d"))  # no negative zero
 
 
 def label_scorecards(spark, sf_dir: str) -> DataFrame:
@@ -202,7 +203,7 @@ SQL = {
     "precision_at_1": f"with {_NEAR} select count(*) as n, round(avg((label = near_label)::int), 6) as precision from k where place = 1",
     "knn_label_votes": f"with {_NEAR}, v as (select vec_id, near_label as label, sum(greatest(sim, 0)) as vote from k where place <= 25 group by all), r as (select *, sum(vote) over (partition by vec_id) as total, row_number() over (partition by vec_id order by round(vote, 6) desc, label) as rn from v) select vec_id, label, round(vote / total, 4) as share from r where rn = 1 and total > 0",
     "mean_alignment": f"""with {_V}, c as (select model, pos, avg(x) as mean from (select model, unnest(range(0, len(v))) as pos, unnest(v)::double as x from sv) group by all), m as (select model, list(mean order by pos) as m from c group by 1)
-      select artist_id, model, round(list_cosine_similarity(v::double[], m), 4) as d from sv join m using (model)""",
+      select artist_id, model, case when d = 0 then 0.0 else d end as d from (select artist_id, model, round(list_cosine_similarity(v::double[], m), 4) as d from sv join m using (model))""",
     "label_scorecards": """with e as (select distinct on (vec_id) vec_id, label, embedding::double[] as v from embeddings where embedding is not null and label is not null),
       c as (select label, pos, avg(x) as mean from (select label, unnest(range(0, len(v))) as pos, unnest(v) as x from e) group by all), m as (select label, list(mean order by pos) as m from c group by 1),
       s as (select label, round(list_cosine_similarity(v, m), 4) as sim from e join m using (label)), k as (select label, median(sim) as mid, min(sim) as low, max(sim) as high, count(*) as n from s group by 1),
