@@ -1,10 +1,13 @@
 """Variant spellings of one name, by a join over sharded tries.
 
-A name is taken apart into plain words. Its rarest word, by sound, goes into the trie
-of the names whose other words begin with the same letters; a Levenshtein automaton
-walks the trie, all names of a shard at once, and enumerates the words within a
-bounded distance. Names whose rarest words meet are compared in full: their words,
-in any order, must pair off within the same bound.
+A name is taken apart into plain words. Each word, by sound, goes into the tries of
+the names whose other words begin, or end, with the same letters; a Levenshtein
+automaton walks the trie, all names of a shard at once, and enumerates the words
+within a bounded distance. Two edits in two words leave either the first letters or
+the last ones as they are, so a pair meets at a word that differs. Names that differ
+in no word by sound meet as a whole, and short forms at a word and the short form
+beside it. Names that meet are compared in full: their words, in any order, must pair
+off within the same bound.
 """
 
 from __future__ import annotations
@@ -13,16 +16,14 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle, shuffle_width, table
-from .spelling import distance, given_names, sound, tokens
+from .spelling import NICKNAMES, distance, given_names, sound, tokens
 
 #: Edits between two spellings, over all words.
 BOUND = 2
-#: A word of more names than this is a common one, like "orchestra"; the others may tell names apart.
-COMMON = 60
 #: Words in one trie; the names of a larger shard are spread over several.
 TRIE_WORDS = 8_000
 _FREE = 99
@@ -45,29 +46,52 @@ def _forms(batches):
         )
 
 
-def _initial(word: str) -> str:
-    full = given_names(word)
-    return sound(full[0] if full else word)[:1] or word[:1]
+def _initials(words: list[str]) -> set[str]:
+    """First letters of the words, as typed, by sound and of the given names they may stand for, each choice in order."""
+    found = {""}
+    for w in words:
+        letters = {x[:1] for full in (w, *given_names(w)) for x in (full, sound(full)) if x}
+        found = {"".join(sorted(s + x)) for s in found for x in letters}
+    return found
+
+
+def _shards(words: list[str]) -> set[str]:
+    """Shards of a word beside these others: by their first letters, and by their last ones."""
+    return {"<" + x for x in _initials(words)} | {">" + "".join(sorted((sound(w) or w)[-1] for w in words))} if words else {""}
+
+
+def _shorts(word: str) -> set[str]:
+    """What this word may be a short form by."""
+    return {word, *given_names(word)} if len(word) <= 4 else set(given_names(word))
+
+
+def _fulls(word: str) -> set[str]:
+    """What a short form of this word would be known by."""
+    begins = {word[:k] for k in range(1, 5) if k < len(word) and (k == 1 or len(word) - k >= 3)}
+    return begins | {g[:1] for g in given_names(word)} | ({word} if word in NICKNAMES else set())
 
 
 def _cores(batches):
-    """Rows (form, core, shard) of forms (form, words, codes, counts): its rarest words, and the first letters of the rest."""
+    """Rows (form, core, shard, kind) of forms (form, words, codes).
+
+    Kinds: word; joined, two words as one; whole, all words in order; short and full, a
+    word with a short form of another one.
+    """
     for batch in batches:
         out = []
-        for form, words, codes, counts in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            order = sorted(range(len(codes)), key=lambda i: (counts[i], -len(codes[i]), i))
-            rare = [i for i in order if counts[i] <= COMMON]
-            found = set()
-            for i in rare[:2] or order[:1]:
-                found.add((codes[i], "".join(sorted(_initial(w) for j, w in enumerate(words) if j != i))))
-            for i in rare:  # a word typed as two
-                if i + 1 < len(codes) and i + 1 in rare:
-                    found.add((sound(words[i] + words[i + 1]), "".join(sorted(_initial(w) for j, w in enumerate(words) if j not in (i, i + 1)))))
-            if not rare:  # all words are common: the whole name is the word
-                found = {("".join(sorted(codes)), "")}
-            out += [(form, core, shard) for core, shard in found]
-        cols = list(zip(*out)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["form", "core", "shard"])
+        for form, words, codes in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            found = {(" ".join(sorted(codes)), "", "whole")}
+            for i in {w: i for i, w in enumerate(words)}.values():
+                rest = words[:i] + words[i + 1 :]
+                found |= {(codes[i], shard, "word") for shard in _shards(rest)}
+                for w in set(rest):
+                    found |= {(f"{codes[i]} {x}", "", "short") for x in _shorts(w)} | {(f"{codes[i]} {x}", "", "full") for x in _fulls(w)}
+            for i in {pair: i for i, pair in enumerate(zip(words, words[1:]))}.values():  # a word typed as two
+                joined = words[i] + words[i + 1]
+                found |= {(sound(joined) or joined, shard, "joined") for shard in _shards(words[:i] + words[i + 2 :])}
+            out += [(form, *x) for x in found]
+        cols = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["form", "core", "shard", "kind"])
 
 
 class Trie:
@@ -138,25 +162,26 @@ class Trie:
 
 
 def _trie_pairs(rows: pa.Table) -> pa.Table:
-    """Pairs of cores of one shard part that are within the bound of the shorter."""
-    cores, index = rows.column("core").to_pylist(), rows.column("indexed").to_pylist()
+    """(shard, kind, core_a, core_b): words of one shard part that are within the bound of the shorter, the second one of the trie.
+
+    Two words by themselves are a pair once, and only if they differ; a joined one may equal the other.
+    """
+    cores, kinds, index = (rows.column(c).to_pylist() for c in ("core", "kind", "indexed"))
     trie = Trie([c for c, x in zip(cores, index) if x])
-    asked = sorted(set(cores))
     shard = rows.column("shard")[0].as_py()
-    a, b = [], []
-    if trie.words:
-        for begin in range(0, len(asked), 2000):
-            some = asked[begin : begin + 2000]
-            for q, w, d in trie.within(some, BOUND):
-                for i, j, far in zip(q.tolist(), w.tolist(), d.tolist()):
-                    x, y = some[i], trie.words[j]
-                    if x <= y and far <= bound_for(min(len(x), len(y))):
-                        a.append(x)
-                        b.append(y)
-                    elif y < x and far <= bound_for(min(len(x), len(y))):
-                        a.append(y)
-                        b.append(x)
-    return pa.table({"shard": pa.array([shard] * len(a), pa.string()), "core_a": pa.array(a, pa.string()), "core_b": pa.array(b, pa.string())})
+    out = []
+    for kind in ("word", "joined"):
+        for most in range(BOUND + 1):
+            asked = sorted({c for c, k in zip(cores, kinds) if k == kind and bound_for(len(c)) == most})
+            for begin in range(0, len(asked) if trie.words and (most or kind == "joined") else 0, 2000):
+                some = asked[begin : begin + 2000]
+                for q, w, d in trie.within(some, most):
+                    for i, j, far in zip(q.tolist(), w.tolist(), d.tolist()):
+                        x, y = some[i], trie.words[j]
+                        if (kind == "joined" or x < y) and far <= bound_for(min(len(x), len(y))):
+                            out.append((shard, kind, x, y))
+    cols = list(zip(*out)) or [()] * 4
+    return pa.table([pa.array(c, pa.string()) for c in cols], names=["shard", "kind", "core_a", "core_b"])
 
 
 def word_cost(a: str, b: str) -> int:
@@ -209,28 +234,26 @@ def plain_forms(names: DataFrame) -> DataFrame:
 def similar_forms(forms: DataFrame) -> DataFrame:
     """(form_a, form_b, cost) of forms that may be spellings of one name; each pair once, in order."""
     forms = settle(forms.groupBy("form").agg(F.first("words").alias("words"), F.first("codes").alias("codes")))
-    coded = forms.select("form", F.posexplode("codes").alias("at", "code"))
-    counts = coded.groupBy("code").agg(F.count_distinct("form").alias("n"))
-    rarity = coded.join(counts, "code").groupBy("form").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("c"))
-    counted = forms.join(rarity, "form").select("form", "words", "codes", F.col("c.n").alias("counts"))
-    cores = settle(counted.mapInArrow(_cores, "form string, core string, shard string"))
-
-    words = cores.select("shard", "core").distinct()
-    sizes = words.groupBy("shard").agg(F.ceil(F.count("*") / TRIE_WORDS).cast("int").alias("parts"))
+    cores = settle(forms.select("form", "words", "codes").mapInArrow(_cores, "form string, core string, shard string, kind string"))
+
+    words = cores.where("kind in ('word', 'joined')").select("shard", "core", "kind").distinct()
+    sizes = words.where("kind = 'word'").groupBy("shard").agg(F.ceil(F.count("*") / TRIE_WORDS).cast("int").alias("parts"))
     placed = words.join(sizes, "shard").withColumn("home", F.pmod(F.xxhash64("core"), F.col("parts")).cast("int"))
-    sent = placed.select("shard", "core", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    sent = sent.select("shard", "part", "core", (F.col("home") == F.col("part")).alias("indexed"))
+    sent = placed.select("shard", "core", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    sent = sent.select("shard", "part", "core", "kind", ((F.col("home") == F.col("part")) & (F.col("kind") == "word")).alias("indexed"))
     # By number, lest the small shuffle be drawn together into one task: the walks are what costs.
     sent = sent.repartition(4 * shuffle_width(forms.sparkSession), "shard", "part")
-    pairs = sent.groupBy("shard", "part").applyInArrow(_trie_pairs, "shard string, core_a string, core_b string").distinct()
-
-    left = cores.select(F.col("form").alias("form_a"), F.col("core").alias("core_a"), "shard")
-    right = cores.select(F.col("form").alias("form_b"), F.col("core").alias("core_b"), F.col("shard"))
-    near = pairs.join(left, ["shard", "core_a"]).join(right, ["shard", "core_b"]).select("form_a", "form_b")
-    # Equal rare words need no equal letters elsewhere.
-    rare = cores.select("form", "core").distinct().withColumn("n", F.count("*").over(Window.partitionBy("core"))).where(F.col("n") <= COMMON)
-    equal = rare.select(F.col("form").alias("form_a"), "core").join(rare.select(F.col("form").alias("form_b"), "core"), "core").select("form_a", "form_b")
-    both = near.unionByName(equal).select(F.least("form_a", "form_b").alias("form_a"), F.greatest("form_a", "form_b").alias("form_b"))
+    pairs = sent.groupBy("shard", "part").applyInArrow(_trie_pairs, "shard string, kind string, core_a string, core_b string")
+
+    left = cores.select(F.col("form").alias("form_a"), F.col("core").alias("core_a"), "shard", "kind")
+    right = cores.where("kind = 'word'").select(F.col("form").alias("form_b"), F.col("core").alias("core_b"), "shard")
+    near = pairs.join(left, ["shard", "kind", "core_a"]).join(right, ["shard", "core_b"]).select("form_a", "form_b")
+
+    def of(kind: str, name: str) -> DataFrame:
+        return cores.where(F.col("kind") == kind).select(F.col("form").alias(name), "core")
+
+    equal = of("whole", "form_a").join(of("whole", "form_b"), "core").unionByName(of("short", "form_a").join(of("full", "form_b"), "core"))
+    both = near.unionByName(equal.select("form_a", "form_b")).select(F.least("form_a", "form_b").alias("form_a"), F.greatest("form_a", "form_b").alias("form_b"))
     both = both.where("form_a <> form_b").distinct()
     spelt = forms.select("form", "words")
     compared = both.join(spelt.select(F.col("form").alias("form_a"), F.col("words").alias("wa")), "form_a").join(

@@ -56,6 +56,16 @@ def test_long_names_and_word_order(spark):
     assert found_names(spark, [("a", long, None, 1), ("b", long, None, 1)]) == {("a", "b")}
 
 
+def test_names_of_common_words_alone(spark):
+    # every word below is in more than 60 names
+    firsts = ["Christopher", "Veiwatusim", "Dorimanta", "Kelubrofa"] + ["".join(c) + "ombaruf" for c in zip("bdfgklmnprst", "aeiouaeiouae")]
+    lasts = ["Static", "Orchestra", "Gabasuni"] + [a + b + "vult" for a in "bdfgklmnprst" for b in "aeiou"]
+    crowd = [(f"n{i}.{j}", f"{x} {y}", f"m{i}.{j}", 1) for i, x in enumerate(firsts) for j, y in enumerate(lasts)]
+    rows = [("a", "christophergabasuni", None, 1), ("b", "Veiwatusim Statik Gabasuni", "mb", 1), ("c", "VeiwatusimStatic Gabasuni", None, 1), ("d", "Kit Orchestra", None, 1), ("e", "Torimanta Urchestra", None, 1)]
+    got = found_names(spark, crowd + rows)
+    assert {("a", "n0.2"), ("b", "c"), ("d", "n0.1"), ("e", "n2.1")} <= got
+
+
 # 3
 def test_term_counts_by_increments_equal_a_recount(spark):
     schema = "record string, tag string, occurrences int"
