@@ -72,7 +72,9 @@ def _fulls(word: str) -> set[str]:
 
 
 def _cores(batches):
-    """Rows (form, core, shard, kind) of forms (form, words, codes).
+    """Rows (form, core, length, shard, kind) of forms (form, words, codes): the length is that of the word as typed.
+
+    A word stands in the shards of sounds by its sound and in those of letters as typed.
 
     Kinds: word; joined, two words as one; whole, all words in order; short and full, a
     word with a short form of another one.
@@ -80,18 +82,19 @@ def _cores(batches):
     for batch in batches:
         out = []
         for form, words, codes in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            found = {(" ".join(sorted(codes)), "", "whole")}
+            found = {(" ".join(sorted(codes)), 0, "", "whole")}
             for i in {w: i for i, w in enumerate(words)}.values():
                 rest = words[:i] + words[i + 1 :]
-                found |= {(codes[i], shard, "word") for shard in _shards(rest)}
+                found |= {(x, len(words[i]), by + shard, "word") for shard in _shards(rest) for by, x in (("sound", codes[i]), ("letter", words[i]))}
                 for w in set(rest):
-                    found |= {(f"{codes[i]} {x}", "", "short") for x in _shorts(w)} | {(f"{codes[i]} {x}", "", "full") for x in _fulls(w)}
+                    found |= {(f"{codes[i]} {x}", 0, "", "short") for x in _shorts(w)} | {(f"{codes[i]} {x}", 0, "", "full") for x in _fulls(w)}
             for i in {pair: i for i, pair in enumerate(zip(words, words[1:]))}.values():  # a word typed as two
                 joined = words[i] + words[i + 1]
-                found |= {(sound(joined) or joined, shard, "joined") for shard in _shards(words[:i] + words[i + 2 :])}
+                shards = _shards(words[:i] + words[i + 2 :])
+                found |= {(x, len(joined), by + shard, "joined") for shard in shards for by, x in (("sound", sound(joined) or joined), ("letter", joined))}
             out += [(form, *x) for x in found]
-        cols = list(zip(*out)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["form", "core", "shard", "kind"])
+        cols, types = list(zip(*out)) or [()] * 5, (pa.string(), pa.string(), pa.int32(), pa.string(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["form", "core", "length", "shard", "kind"])
 
 
 class Trie:
@@ -118,11 +121,13 @@ class Trie:
             self.levels.append((parent[new], letter[new], ends))
             node[alive] = number
 
-    def within(self, asked: list[str], most: int):
+    def within(self, asked: list[str], most: int, swaps: bool = False):
         """Pairs (index into asked, index into words, distance) of words at most ``most`` edits apart.
 
         The automaton's state for a prefix is a row of the edit matrix around its
-        diagonal; a walk ends where the whole row is beyond the bound.
+        diagonal; a walk ends where the whole row is beyond the bound. With ``swaps``, two
+        neighbouring letters swapped are one edit, and the row before and its letter
+        belong to the state.
         """
         width, dead = 2 * most + 1, most + 1
         longest = max(map(len, asked), default=0)
@@ -134,6 +139,7 @@ class Trie:
         at = np.zeros(len(asked), np.int64)
         offsets = np.arange(-most, most + 1)
         rows = np.tile(np.where(offsets >= 0, offsets, dead), (len(asked), 1)).astype(np.int8)
+        before, last = np.full_like(rows, dead), np.full(len(asked), -1, np.int32)
         for depth, (parent, letter, ends) in enumerate(self.levels, 1):
             first = np.searchsorted(parent, at)
             count = np.searchsorted(parent, at, side="right") - first
@@ -145,13 +151,18 @@ class Trie:
             same = pad[q[:, None], width + depth - 1 + offsets[None, :]] == letter[child][:, None]
             new = np.minimum(old + ~same, dead).astype(np.int8)  # the letter stands for one of the word's
             new[:, :-1] = np.minimum(new[:, :-1], old[:, 1:] + 1)  # a letter too many in the trie
+            if swaps:
+                crossed = (pad[q[:, None], width + depth - 1 + offsets[None, :]] == last[again][:, None]) & (pad[q[:, None], width + depth - 2 + offsets[None, :]] == letter[child][:, None])
+                new = np.where(crossed, np.minimum(new, before[again] + 1), new)
             column = depth + offsets[None, :]
             new = np.where((column < 0) | (column > lengths[q][:, None]), dead, new)
             new = np.where(column == 0, min(depth, dead), new).astype(np.int8)
             for o in range(1, width):  # a letter of the word left out
                 new[:, o] = np.minimum(new[:, o], np.where(column[0, o] <= lengths[q], new[:, o - 1] + 1, dead))
             keep = new.min(axis=1) <= most
-            q, at, rows = q[keep], child[keep], new[keep]
+            if swaps:  # a swap goes on from the row before
+                keep |= old.min(axis=1) < most
+            q, at, rows, before, last = q[keep], child[keep], new[keep], old[keep], letter[child[keep]]
             end = ends[at]
             spot = lengths[q] - depth + most
             hit = (end >= 0) & (spot >= 0) & (spot < width)
@@ -166,19 +177,21 @@ def _trie_pairs(rows: pa.Table) -> pa.Table:
 
     Two words by themselves are a pair once, and only if they differ; a joined one may equal the other.
     """
-    cores, kinds, index = (rows.column(c).to_pylist() for c in ("core", "kind", "indexed"))
-    trie = Trie([c for c, x in zip(cores, index) if x])
+    cores, lengths, kinds, index = (rows.column(c).to_pylist() for c in ("core", "length", "kind", "indexed"))
+    of_trie = {c: n for c, n, x in zip(cores, lengths, index) if x}
+    trie = Trie(list(of_trie))
     shard = rows.column("shard")[0].as_py()
     out = []
     for kind in ("word", "joined"):
         for most in range(BOUND + 1):
-            asked = sorted({c for c, k in zip(cores, kinds) if k == kind and bound_for(len(c)) == most})
+            own = {c: n for c, n, k in zip(cores, lengths, kinds) if k == kind and bound_for(n) == most}
+            asked = sorted(own)
             for begin in range(0, len(asked) if trie.words and (most or kind == "joined") else 0, 2000):
                 some = asked[begin : begin + 2000]
-                for q, w, d in trie.within(some, most):
+                for q, w, d in trie.within(some, most, swaps=True):
                     for i, j, far in zip(q.tolist(), w.tolist(), d.tolist()):
                         x, y = some[i], trie.words[j]
-                        if (kind == "joined" or x < y) and far <= bound_for(min(len(x), len(y))):
+                        if (kind == "joined" or x < y) and far <= bound_for(min(own[x], of_trie[y])):
                             out.append((shard, kind, x, y))
     cols = list(zip(*out)) or [()] * 4
     return pa.table([pa.array(c, pa.string()) for c in cols], names=["shard", "kind", "core_a", "core_b"])
@@ -198,20 +211,51 @@ def word_cost(a: str, b: str) -> int:
     return d if d <= most else _FREE
 
 
+def _pairing(costs: list[list[int]]) -> int:
+    """The least sum of a pairing of all rows with all columns, by augmenting paths."""
+    n = len(costs)
+    u, v, match = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    for i in range(1, n + 1):
+        match[0], j0 = i, 0
+        least, way, done = [_FREE * (n + 1)] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+        while match[j0]:
+            done[j0], row, delta, j1 = True, match[j0], _FREE * (n + 1), 0
+            for j in range(1, n + 1):
+                if not done[j]:
+                    if (c := costs[row - 1][j - 1] - u[row] - v[j]) < least[j]:
+                        least[j], way[j] = c, j0
+                    if least[j] < delta:
+                        delta, j1 = least[j], j
+            for j in range(n + 1):
+                if done[j]:
+                    u[match[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            j0 = j1
+        while j0:
+            match[j0] = match[way[j0]]
+            j0 = way[j0]
+    return sum(costs[match[j] - 1][j - 1] for j in range(1, n + 1))
+
+
 def name_cost(a: list[str], b: list[str]) -> int:
     """Edits between two names: their words pair off, in the order that costs least."""
     if len(a) > len(b):
         a, b = b, a
-    if len(b) > 7:
-        return 0 if sorted(a) == sorted(b) else _FREE
     if len(b) - len(a) > 1 or not a:
         return _FREE
     if len(b) == len(a) + 1:  # one word was typed as two
         joined = [[*b[:i], b[i] + b[i + 1], *b[i + 2 :]] for i in range(len(b) - 1)]
         return min(name_cost(a, x) for x in joined)
-    costs = [[word_cost(x, y) for y in b] for x in a]
+    costs, floor = [], 0
+    for x in a:
+        costs.append([word_cost(x, y) for y in b])
+        floor += min(costs[-1])
+        if floor > BOUND:
+            return _FREE
+    best = min(sum(costs[i][j] for i, j in enumerate(p)) for p in permutations(range(len(b)))) if len(b) < 4 else _pairing(costs)
     # a name of initials alone, or of words that all differ, says nothing
-    best = min(sum(costs[i][j] for i, j in enumerate(p)) for p in permutations(range(len(b))))
     if best <= BOUND and not any(len(x) > 3 and min(row) < _FREE for x, row in zip(a, costs)):
         return _FREE
     return best
@@ -234,13 +278,13 @@ def plain_forms(names: DataFrame) -> DataFrame:
 def similar_forms(forms: DataFrame) -> DataFrame:
     """(form_a, form_b, cost) of forms that may be spellings of one name; each pair once, in order."""
     forms = settle(forms.groupBy("form").agg(F.first("words").alias("words"), F.first("codes").alias("codes")))
-    cores = settle(forms.select("form", "words", "codes").mapInArrow(_cores, "form string, core string, shard string, kind string"))
+    cores = settle(forms.select("form", "words", "codes").mapInArrow(_cores, "form string, core string, length int, shard string, kind string"))
 
-    words = cores.where("kind in ('word', 'joined')").select("shard", "core", "kind").distinct()
+    words = cores.where("kind in ('word', 'joined')").groupBy("shard", "core", "kind").agg(F.max("length").alias("length"))
     sizes = words.where("kind = 'word'").groupBy("shard").agg(F.ceil(F.count("*") / TRIE_WORDS).cast("int").alias("parts"))
     placed = words.join(sizes, "shard").withColumn("home", F.pmod(F.xxhash64("core"), F.col("parts")).cast("int"))
-    sent = placed.select("shard", "core", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    sent = sent.select("shard", "part", "core", "kind", ((F.col("home") == F.col("part")) & (F.col("kind") == "word")).alias("indexed"))
+    sent = placed.select("shard", "core", "length", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    sent = sent.select("shard", "part", "core", "length", "kind", ((F.col("home") == F.col("part")) & (F.col("kind") == "word")).alias("indexed"))
     # By number, lest the small shuffle be drawn together into one task: the walks are what costs.
     sent = sent.repartition(4 * shuffle_width(forms.sparkSession), "shard", "part")
     pairs = sent.groupBy("shard", "part").applyInArrow(_trie_pairs, "shard string, kind string, core_a string, core_b string")

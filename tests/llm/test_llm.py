@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import math
 import random
 
@@ -66,6 +67,25 @@ def test_names_of_common_words_alone(spark):
     assert {("a", "n0.2"), ("b", "c"), ("d", "n0.1"), ("e", "n2.1")} <= got
 
 
+def test_trie_counts_a_swap_as_one():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(150)]
+    trie, asked = names.Trie(words[:80]), sorted(set(words[80:]))
+    for most in (0, 1, 2):
+        got = {(asked[i], trie.words[j], int(d)) for q, w, ds in trie.within(asked, most, swaps=True) for i, j, d in zip(q, w, ds)}
+        assert got == {(a, b, d) for a in asked for b in trie.words if (d := spelling.distance(a, b, most)) <= most}
+
+
+def test_search_is_as_wide_as_the_comparison(spark):
+    crowd = [(f"n{i}", f"{a}{b}vult{c}{d}mos Choir", f"m{i}", 1) for i, (a, b, c, d) in enumerate((a, b, c, d) for a in "bdfg" for b in "aei" for c in "klm" for d in "ou")]
+    long = "Grand Symphonic Kravomeil Orchestra Zupelo Vareny Olmstad Tuskarem"
+    rows = [("a", "Dove Choir", "m", 1), ("b", "Dvoe Choir", None, 1), ("c", long, None, 1), ("d", long.replace("Vareny", "Varemy"), None, 1), ("e", "Phabol Choir", None, 1), ("f", "Phatul Choir", None, 1),
+            ("g", "MC Gephopawen Restless", None, 1), ("h", "MC Geofpeawen Restless", None, 1)]
+    assert {("a", "b"), ("c", "d"), ("e", "f"), ("g", "h")} <= found_names(spark, crowd + rows)
+    costs = [[random.Random(i * 7 + j).choice([0, 1, 2, 99]) for j in range(6)] for i in range(6)]
+    assert names._pairing(costs) == min(sum(costs[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(6)))
+
+
 # 3
 def test_term_counts_by_increments_equal_a_recount(spark):
     schema = "record string, tag string, occurrences int"
