@@ -155,6 +155,13 @@ def test_alternating_directions_reach_the_optimum(spark):
     assert got["x"] == pytest.approx(0.9, abs=0.06) and got["y"] == pytest.approx(0.1, abs=0.06)
 
 
+def test_many_pages_of_one_candidate_reach_the_optimum(spark):
+    # as ground_rules has it for pages of equal name and town: 3 * max(0, 1 - x) + x each, and their sum up to 1
+    rules = [r for k, n in (("h", 30), ("t", 10)) for i in range(n) for r in ((f"p{k}{i}", f"{k}{i}", -1.0, 1.0, 3.0), (f"q{k}{i}", f"{k}{i}", 1.0, 0.0, 1.0), (f"one:{k}", f"{k}{i}", 1.0, -1.0, 1.0))]
+    got = [r["value"] for r in linkage.solve(spark.createDataFrame(rules, "rule string, var string, coef double, base double, weight double")).collect()]
+    assert len(got) == 40 and min(got) > 0.97
+
+
 # 6
 def test_top_n_equals_brute_force(spark):
     rng = random.Random(2)
