@@ -155,6 +155,16 @@ def test_alternating_directions_reach_the_optimum(spark):
     assert got["x"] == pytest.approx(0.9, abs=0.06) and got["y"] == pytest.approx(0.1, abs=0.06)
 
 
+def test_countries_are_told_by_where_they_stand(spark):
+    # one town has a third of the rows, the table is small, and a town has three letters
+    places = ["Tusk, Vareny"] * 30 + [f"T{i}m, Vareny" for i in range(5)] + ["Olm, Dresk", "Rilm, Dresk", "Vareny, Tusk", "Tusk", "Dresk", None, " "] + ["Ulf"] * 25
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(places)], "id int, place string")
+    countries = linkage.countries_of(df)
+    assert {r.part for r in countries.collect()} == {"vareny", "dresk"}
+    towns = {r.place: sorted(r.towns) for r in linkage._placed(df, countries).collect()}
+    assert (towns["Tusk, Vareny"], towns["Olm, Dresk"], towns["Ulf"], towns["Dresk"], towns[None]) == (["tusk"], ["olm"], ["ulf"], [], [])
+
+
 def test_many_pages_of_one_candidate_reach_the_optimum(spark):
     # as ground_rules has it for pages of equal name and town: 3 * max(0, 1 - x) + x each, and their sum up to 1
     rules = [r for k, n in (("h", 30), ("t", 10)) for i in range(n) for r in ((f"p{k}{i}", f"{k}{i}", -1.0, 1.0, 3.0), (f"q{k}{i}", f"{k}{i}", 1.0, 0.0, 1.0), (f"one:{k}", f"{k}{i}", 1.0, -1.0, 1.0))]
