@@ -1,31 +1,40 @@
 """Variant spellings of one name, by a join over sharded tries.
 
-A name is taken apart into plain words. Each word, by sound, goes into the tries of
-the names whose other words begin, or end, with the same letters; a Levenshtein
-automaton walks the trie, all names of a shard at once, and enumerates the words
-within a bounded distance. Two edits in two words leave either the first letters or
-the last ones as they are, so a pair meets at a word that differs. Names that differ
-in no word by sound meet as a whole, and short forms at a word and the short form
-beside it. Names that meet are compared in full: their words, in any order, must pair
-off within the same bound.
+A name is taken apart into plain words, and the distinct words of all names, by sound
+and as typed, go into tries. A word stands in the shards of its first letters with at
+most one of them left out, and in the shard of its last letters: two words within two
+edits share a shard, for either at most one edit is in the first letters or none is in
+the last. A Levenshtein automaton walks a shard's trie and enumerates the words within
+a bounded distance. A name's neighbours are then its words, in any order, with some of
+them replaced by near ones, and meet the names that have just these words, by a key
+that knows no order. Joined words, short forms and nicknames are further keys of a
+name. Names that meet are compared in full: their words, in any order, must pair off
+within the same bound.
 """
 
 from __future__ import annotations
 
-from itertools import permutations
+from functools import lru_cache
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle, shuffle_width, table
-from .spelling import NICKNAMES, distance, given_names, sound, tokens
+from .spelling import distance, given_names, sound, tokens
 
 #: Edits between two spellings, over all words.
 BOUND = 2
-#: Words in one trie; the names of a larger shard are spread over several.
-TRIE_WORDS = 8_000
+#: For the longer of two words, up to this many letters: first letters of which one may be left out, last letters, and the least length of the other word.
+SHARDS = [(3, 1, 0, 1), (5, 2, 1, 1), (7, 3, 2, 4), (9, 4, 3, 6), (None, 5, 4, 8)]
+#: Words in one trie; a larger shard is spread over several.
+TRIE_WORDS = 20_000
+#: Rows whose shards are walked together.
+WALK_ROWS = 100_000
 _FREE = 99
 
 
@@ -34,80 +43,91 @@ def bound_for(length: int) -> int:
     return 0 if length < 4 else 1 if length < 6 else BOUND
 
 
-def _forms(batches):
-    """Rows (form, words, codes) of names: the form is the plain words in order."""
-    for batch in batches:
-        names = batch.column(0)
-        words = [tokens(s) for s in names.to_pylist()]
-        codes = [[sound(w) or w for w in ws] for ws in words]
-        lists = pa.list_(pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [names, pa.array([" ".join(w) for w in words]), pa.array(words, lists), pa.array(codes, lists)], names=["name", "form", "words", "codes"]
-        )
+def code_of(word: str) -> str:
+    """A word by its sound; one without any as typed."""
+    return sound(word) or word
 
 
-def _initials(words: list[str]) -> set[str]:
-    """First letters of the words, as typed, by sound and of the given names they may stand for, each choice in order."""
-    found = {""}
-    for w in words:
-        letters = {x[:1] for full in (w, *given_names(w)) for x in (full, sound(full)) if x}
-        found = {"".join(sorted(s + x)) for s in found for x in letters}
-    return found
+@lru_cache(500_000)
+def _number(code: str) -> int:
+    return xxhash.xxh64_intdigest(code)
 
 
-def _shards(words: list[str]) -> set[str]:
-    """Shards of a word beside these others: by their first letters, and by their last ones."""
-    return {"<" + x for x in _initials(words)} | {">" + "".join(sorted((sound(w) or w)[-1] for w in words))} if words else {""}
+class _Hashes(dict):
+    """Words to the 64-bit numbers of their codes, remembered."""
 
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = _number(code_of(word))
+        return value
 
-def _shorts(word: str) -> set[str]:
-    """What this word may be a short form by."""
-    return {word, *given_names(word)} if len(word) <= 4 else set(given_names(word))
+
+def _signed(number: int) -> int:
+    """The lowest 64 bits as a signed number."""
+    number &= (1 << 64) - 1
+    return number - (1 << 64) if number >> 63 else number
+
+
+def _forms(batches):
+    """Rows (name, form, id, words) of names: the form is the plain words in order, the id its hash."""
+    for batch in batches:
+        names = batch.column(0)
+        words = [tokens(s) for s in names.to_pylist()]
+        forms = [" ".join(w) for w in words]
+        ids = [_signed(xxhash.xxh64_intdigest(f)) for f in forms]
+        yield pa.RecordBatch.from_arrays([names, pa.array(forms), pa.array(ids, pa.int64()), pa.array(words, pa.list_(pa.string()))], names=["name", "form", "id", "words"])
 
 
 def _fulls(word: str) -> set[str]:
-    """What a short form of this word would be known by."""
+    """What a short form of this word would be typed as."""
     begins = {word[:k] for k in range(1, 5) if k < len(word) and (k == 1 or len(word) - k >= 3)}
-    return begins | {g[:1] for g in given_names(word)} | ({word} if word in NICKNAMES else set())
-
+    return begins | {g[:1] for g in given_names(word)}
 
-def _cores(batches):
-    """Rows (form, core, length, shard, kind) of forms (form, words, codes): the length is that of the word as typed.
 
-    A word stands in the shards of sounds by its sound and in those of letters as typed.
+def _keys(batches):
+    """Rows (key, id, typed) of forms (id, words): the sum of the words' hashes, for the words as typed and in other ways.
 
-    Kinds: word; joined, two words as one; whole, all words in order; short and full, a
-    word with a short form of another one.
+    Typed count the words as they are, also with two neighbours as one. The other ways:
+    one word as a short form, a nickname as the given name, two words or all but one as
+    initials.
     """
+    hashes = _Hashes()
     for batch in batches:
-        out = []
-        for form, words, codes in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            found = {(" ".join(sorted(codes)), 0, "", "whole")}
-            for i in {w: i for i, w in enumerate(words)}.values():
-                rest = words[:i] + words[i + 1 :]
-                found |= {(x, len(words[i]), by + shard, "word") for shard in _shards(rest) for by, x in (("sound", codes[i]), ("letter", words[i]))}
-                for w in set(rest):
-                    found |= {(f"{codes[i]} {x}", 0, "", "short") for x in _shorts(w)} | {(f"{codes[i]} {x}", 0, "", "full") for x in _fulls(w)}
-            for i in {pair: i for i, pair in enumerate(zip(words, words[1:]))}.values():  # a word typed as two
-                joined = words[i] + words[i + 1]
-                shards = _shards(words[:i] + words[i + 2 :])
-                found |= {(x, len(joined), by + shard, "joined") for shard in shards for by, x in (("sound", sound(joined) or joined), ("letter", joined))}
-            out += [(form, *x) for x in found]
-        cols, types = list(zip(*out)) or [()] * 5, (pa.string(), pa.string(), pa.int32(), pa.string(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["form", "core", "length", "shard", "kind"])
+        keys: list[int] = []
+        ids: list[int] = []
+        typed: list[bool] = []
+        for form, words in zip(*(batch.column(i).to_pylist() for i in range(2))):
+            h = [hashes[w] for w in words]
+            whole = sum(h)
+            joined = {whole + hashes[a + b] - hashes[a] - hashes[b] for a, b in zip(words, words[1:])} | {whole}
+            found: set[int] = set()
+            for w, x in zip(words, h):
+                found |= {whole - x + hashes[g] for g in given_names(w)}
+                if len(words) > 1:
+                    found |= {whole - x + hashes[f] for f in _fulls(w)}
+            if len(words) > 2:
+                first = [hashes[w[0]] - x for w, x in zip(words, h)]
+                all_of = sum(first)
+                found |= {whole + a + b for a, b in combinations(first, 2)} | {whole + all_of - a for a in first}
+            found -= joined
+            keys += [*map(_signed, joined), *map(_signed, found)]
+            ids += [form] * (len(joined) + len(found))
+            typed += [True] * len(joined) + [False] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(typed, pa.bool_())], names=["key", "id", "typed"])
 
 
 class Trie:
-    """Words as a trie in arrays, its nodes level by level."""
-
-    def __init__(self, words: list[str]):
-        self.words = sorted(set(words))
-        letters = np.zeros((len(self.words), max(map(len, self.words), default=0) + 1), np.int32)
-        for i, w in enumerate(self.words):
-            letters[i, : len(w)] = [ord(c) for c in w]
-        self.levels = []  # for each depth: parent, letter, word that ends here or -1
-        node = np.zeros(len(self.words), np.int64)
-        alive = np.arange(len(self.words))
+    """Words as tries in arrays, one for each of ``count`` roots, their nodes level by level. With roots, words come sorted by root, then by themselves."""
+
+    def __init__(self, words: list[str], roots: np.ndarray | None = None, count: int = 1):
+        if roots is None:
+            words, roots = sorted(set(words)), np.zeros(len(set(words)), np.int64)
+        self.words = words
+        letters = _letters(words)
+        self.levels = []  # for each depth: first child of each node before, letter, word that ends here or -1
+        node, nodes = roots.astype(np.int64), count
+        alive = np.arange(len(words))
         for depth in range(letters.shape[1] - 1):
             alive = alive[letters[alive, depth] > 0]
             if not len(alive):
@@ -118,51 +138,60 @@ class Trie:
             ends = np.full(number[-1] + 1, -1)
             last = letters[alive, depth + 1] == 0
             ends[number[last]] = alive[last]
-            self.levels.append((parent[new], letter[new], ends))
-            node[alive] = number
+            self.levels.append((np.searchsorted(parent[new], np.arange(nodes + 1)), letter[new], ends))
+            node[alive], nodes = number, len(ends)
 
-    def within(self, asked: list[str], most: int, swaps: bool = False):
-        """Pairs (index into asked, index into words, distance) of words at most ``most`` edits apart.
+    def within(self, asked: list[str], most: int, swaps: bool = False, roots: np.ndarray | None = None):
+        """Pairs (index into asked, index into words, distance) of words under one root at most ``most`` edits apart.
 
         The automaton's state for a prefix is a row of the edit matrix around its
         diagonal; a walk ends where the whole row is beyond the bound. With ``swaps``, two
         neighbouring letters swapped are one edit, and the row before and its letter
         belong to the state.
         """
+        if not self.levels or not len(asked):
+            return
         width, dead = 2 * most + 1, most + 1
-        longest = max(map(len, asked), default=0)
-        pad = np.zeros((len(asked), longest + 2 * width + 2), np.int32)
-        for i, w in enumerate(asked):
-            pad[i, width : width + len(w)] = [ord(c) for c in w]
-        lengths = np.array([len(w) for w in asked])
+        letters = _letters(asked)
+        lengths = (letters > 0).sum(axis=1)
+        pad = np.zeros((len(asked), letters.shape[1] + 2 * width + 2 + len(self.levels)), np.int32)
+        pad[:, width : width + letters.shape[1]] = letters
         q = np.arange(len(asked))
-        at = np.zeros(len(asked), np.int64)
+        at = np.zeros(len(asked), np.int64) if roots is None else roots.astype(np.int64)
         offsets = np.arange(-most, most + 1)
         rows = np.tile(np.where(offsets >= 0, offsets, dead), (len(asked), 1)).astype(np.int8)
         before, last = np.full_like(rows, dead), np.full(len(asked), -1, np.int32)
-        for depth, (parent, letter, ends) in enumerate(self.levels, 1):
-            first = np.searchsorted(parent, at)
-            count = np.searchsorted(parent, at, side="right") - first
+        for depth, (begin, letter, ends) in enumerate(self.levels, 1):
+            first = begin[at]
+            count = begin[at + 1] - first
             again = np.repeat(np.arange(len(at)), count)
             if not len(again):
                 return
             child = np.repeat(first - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(len(again))
             q, old = q[again], rows[again]
-            same = pad[q[:, None], width + depth - 1 + offsets[None, :]] == letter[child][:, None]
-            new = np.minimum(old + ~same, dead).astype(np.int8)  # the letter stands for one of the word's
+            at_child = letter[child]
+            near = pad[q[:, None], width + depth - 2 + np.arange(-most, most + 2)[None, :]]  # the letters around the diagonal
+            new = old + (near[:, 1:] != at_child[:, None])  # the letter stands for one of the word's
             new[:, :-1] = np.minimum(new[:, :-1], old[:, 1:] + 1)  # a letter too many in the trie
             if swaps:
-                crossed = (pad[q[:, None], width + depth - 1 + offsets[None, :]] == last[again][:, None]) & (pad[q[:, None], width + depth - 2 + offsets[None, :]] == letter[child][:, None])
+                crossed = (near[:, 1:] == last[again][:, None]) & (near[:, :-1] == at_child[:, None])
                 new = np.where(crossed, np.minimum(new, before[again] + 1), new)
-            column = depth + offsets[None, :]
-            new = np.where((column < 0) | (column > lengths[q][:, None]), dead, new)
-            new = np.where(column == 0, min(depth, dead), new).astype(np.int8)
-            for o in range(1, width):  # a letter of the word left out
-                new[:, o] = np.minimum(new[:, o], np.where(column[0, o] <= lengths[q], new[:, o - 1] + 1, dead))
+            column = depth + offsets
+            length = lengths[q]
+            for o in range(width):
+                if column[o] < 0:
+                    new[:, o] = dead
+                else:
+                    if column[o] == 0:
+                        new[:, o] = min(depth, dead)
+                    elif o:  # a letter of the word left out
+                        new[:, o] = np.minimum(new[:, o], new[:, o - 1] + 1)
+                    new[column[o] > length, o] = dead
+            new = np.minimum(new, dead).astype(np.int8)
             keep = new.min(axis=1) <= most
             if swaps:  # a swap goes on from the row before
                 keep |= old.min(axis=1) < most
-            q, at, rows, before, last = q[keep], child[keep], new[keep], old[keep], letter[child[keep]]
+            q, at, rows, before, last = q[keep], child[keep], new[keep], old[keep], at_child[keep]
             end = ends[at]
             spot = lengths[q] - depth + most
             hit = (end >= 0) & (spot >= 0) & (spot < width)
@@ -172,29 +201,52 @@ class Trie:
                 yield q[hit][ok], end[hit][ok], d[ok]
 
 
-def _trie_pairs(rows: pa.Table) -> pa.Table:
-    """(shard, kind, core_a, core_b): words of one shard part that are within the bound of the shorter, the second one of the trie.
-
-    Two words by themselves are a pair once, and only if they differ; a joined one may equal the other.
-    """
-    cores, lengths, kinds, index = (rows.column(c).to_pylist() for c in ("core", "length", "kind", "indexed"))
-    of_trie = {c: n for c, n, x in zip(cores, lengths, index) if x}
-    trie = Trie(list(of_trie))
-    shard = rows.column("shard")[0].as_py()
-    out = []
-    for kind in ("word", "joined"):
-        for most in range(BOUND + 1):
-            own = {c: n for c, n, k in zip(cores, lengths, kinds) if k == kind and bound_for(n) == most}
-            asked = sorted(own)
-            for begin in range(0, len(asked) if trie.words and (most or kind == "joined") else 0, 2000):
-                some = asked[begin : begin + 2000]
-                for q, w, d in trie.within(some, most, swaps=True):
-                    for i, j, far in zip(q.tolist(), w.tolist(), d.tolist()):
-                        x, y = some[i], trie.words[j]
-                        if (kind == "joined" or x < y) and far <= bound_for(min(own[x], of_trie[y])):
-                            out.append((shard, kind, x, y))
-    cols = list(zip(*out)) or [()] * 4
-    return pa.table([pa.array(c, pa.string()) for c in cols], names=["shard", "kind", "core_a", "core_b"])
+def _letters(words: list[str]) -> np.ndarray:
+    """The words' characters as numbers, a row each, with at least one 0 at the end."""
+    longest = max(map(len, words), default=0) + 1
+    return np.array(words, dtype=f"U{longest}").view(np.uint32).reshape(len(words), longest).astype(np.int32)
+
+
+def _near_words(rows: pa.Table) -> pa.RecordBatch:
+    """Rows (code, other, edits) of the words of some shards that are within the bound of the shorter: a typed word's code and the hash of the other's."""
+    words, lengths = rows.column("word").to_pylist(), rows.column("length").to_numpy()
+    shards, asked, indexed = (rows.column(c).to_numpy() for c in ("shard", "typed", "indexed"))
+    root = np.cumsum(np.append(False, shards[1:] != shards[:-1]))
+    kept = np.flatnonzero(indexed)
+    trie = Trie([words[i] for i in kept], root[kept], root[-1] + 1)
+    bounds = np.where(lengths < 4, 0, np.where(lengths < 6, 1, BOUND))
+    sounds = rows.column("sounds").to_numpy()
+    found: dict[tuple[str, int], int] = {}
+    for most in range(1, BOUND + 1):
+        ask = np.flatnonzero(asked & (bounds == most))
+        for begin in range(0, len(ask), 5_000):
+            some = ask[begin : begin + 5_000]
+            for q, w, d in trie.within([words[i] for i in some], most, True, root[some]):
+                x, y = some[q], kept[w]
+                ok = (x != y) & (d <= bounds[y])
+                for i, j, far in zip(x[ok].tolist(), y[ok].tolist(), d[ok].tolist()):
+                    a, b = (words[i], words[j]) if sounds[i] else (code_of(words[i]), code_of(words[j]))
+                    if a != b:
+                        pair = (a, _signed(_number(b)))
+                        found[pair] = min(far, found.get(pair, far))
+    cols = [pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.int64()), pa.array(list(found.values()), pa.int32())]
+    return pa.RecordBatch.from_arrays(cols, names=["code", "other", "edits"])
+
+
+def _walked(batches):
+    """The near words of whole shards, as many at a time as make up WALK_ROWS; rows come sorted by shard and word."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < WALK_ROWS:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        cut = np.flatnonzero(pc.not_equal(rows.column("shard"), rows.column("shard")[-1]).to_numpy())
+        if len(cut):
+            yield _near_words(rows.slice(0, cut[-1] + 1).combine_chunks())
+            held = rows.slice(cut[-1] + 1).to_batches()
+    if held and sum(b.num_rows for b in held):
+        yield _near_words(pa.Table.from_batches(held).combine_chunks())
 
 
 def word_cost(a: str, b: str) -> int:
@@ -262,49 +314,108 @@ def name_cost(a: list[str], b: list[str]) -> int:
 
 
 def _compare(batches):
+    """Rows (form_a, form_b, cost), the lesser form first, of the pairs within the bound."""
     for batch in batches:
-        a, b, wa, wb = (batch.column(i).to_pylist() for i in range(4))
-        cost = np.array([name_cost(x, y) for x, y in zip(wa, wb)], np.int32)
-        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cost)], names=["form_a", "form_b", "cost"])
-        yield out.filter(pa.array(cost <= BOUND))
+        out = []
+        for fa, fb, wa, wb in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            cost = name_cost(wa, wb)
+            if cost <= BOUND:
+                out.append((min(fa, fb), max(fa, fb), cost))
+        cols = list(zip(*out)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32()))], names=["form_a", "form_b", "cost"])
 
 
 def plain_forms(names: DataFrame) -> DataFrame:
-    """(name, form, words, codes) of each distinct name; a null or blank name has no form and is left out."""
+    """(name, form, id, words) of each distinct name; a null or blank name has no form and is left out."""
     distinct = names.select(F.col(names.columns[0]).alias("name")).where("trim(name) <> ''").distinct().repartition(shuffle_width(names.sparkSession), "name")
-    return distinct.mapInArrow(_forms, "name string, form string, words array<string>, codes array<string>").where("form <> ''")
+    return distinct.mapInArrow(_forms, "name string, form string, id bigint, words array<string>").where("form <> ''")
+
+
+def _shards(word: Column, sounds: bool) -> Column:
+    """The shards of a word, as numbers."""
+    n, keys = F.length(word), []
+    for most, first, last, shortest in SHARDS:
+        starts = [F.substring(word, 1, first - 1)] + [F.concat(F.substring(word, 1, i), F.substring(word, i + 2, first - 1 - i)) for i in range(first)]
+        own = F.array_distinct(F.transform(F.array(*starts), lambda x: F.xxhash64(F.lit(f"{first}<{sounds}"), x)))  # noqa: B023
+        ends = F.array(F.xxhash64(F.lit(f"{first}>{sounds}"), F.right(word, F.lit(last))))
+        inside = n >= shortest if most is None else (n >= shortest) & (n <= most)
+        keys.append(F.when(inside, F.concat(own, ends)).otherwise(F.array().cast("array<bigint>")))
+    return F.concat(*keys)
+
+
+def near_words(forms: DataFrame) -> DataFrame:
+    """(code, near): for each typed word's code the hashes of the codes of near words, typed ones or two typed as one, with the edits."""
+    spark = forms.sparkSession
+    w = forms.select("words").distinct()
+    pairs = F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, F.size("words")), lambda a, b: F.concat(a, b))
+    every = w.select(F.explode("words").alias("word"), F.lit(True).alias("typed")).unionByName(w.where("size(words) > 1").select(F.explode(pairs).alias("word"), F.lit(False).alias("typed")))
+    distinct = every.where("length(word) >= 4").groupBy("word").agg(F.max("typed").alias("typed"))
+    coded = distinct.mapInArrow(_coded, "word string, code string, typed boolean")
+    as_typed = coded.select("word", F.length("word").alias("length"), "typed", F.lit(False).alias("sounds"))
+    by_sound = coded.groupBy(F.col("code").alias("word")).agg(F.max(F.length("word")).alias("length"), F.max("typed").alias("typed")).withColumn("sounds", F.lit(True))
+    shard = F.explode(F.when(F.col("sounds"), _shards(F.col("word"), True)).otherwise(_shards(F.col("word"), False))).alias("shard")
+    sharded = settle(as_typed.unionByName(by_sound).select(shard, "word", "length", "typed", "sounds"))
+
+    hot = settle(sharded.groupBy("shard").agg(F.ceil(F.count("*") / TRIE_WORDS).cast("int").alias("parts")).where("parts > 1"))
+    placed = sharded.join(hot, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("home", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
+    sent = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sent = sent.withColumn("indexed", F.col("home") == F.col("part")).where("typed or indexed")
+    sent = sent.select(F.when(F.col("parts") > 1, F.xxhash64("shard", "part")).otherwise(F.col("shard")).alias("shard"), "word", "length", "typed", "sounds", "indexed")
+    # By number, lest the small shuffle be drawn together into one task: the walks are what costs.
+    sent = sent.repartition(4 * shuffle_width(spark), "shard").sortWithinPartitions("shard", "word")
+    pairs = sent.mapInArrow(_walked, "code string, other bigint, edits int")
+    least = pairs.groupBy("code", "other").agg(F.min("edits").alias("edits"))
+    return least.groupBy("code").agg(F.collect_list(F.struct("other", "edits")).alias("near"))
+
+
+def _coded(batches):
+    for batch in batches:
+        codes = [code_of(w) for w in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.string()), batch.column(1)], names=["word", "code", "typed"])
+
+
+def _edited(batches):
+    """Rows (key, id) of forms (id, words, places): the keys with one word replaced by a near one, or two by words one edit away."""
+    hashes = _Hashes()
+    for batch in batches:
+        keys: list[int] = []
+        ids: list[int] = []
+        for form, words, places in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            whole = sum(hashes[w] for w in words)
+            steps = [[(n["other"] - _number(p["code"]), n["edits"]) for n in p["near"]] for p in places]
+            found = {whole + d for s in steps for d, _ in s}
+            ones = [[d for d, c in s if c == 1] for s in steps]
+            for x, y in combinations(ones, 2):
+                found |= {whole + a + b for a in x for b in y}
+            keys += map(_signed, found)
+            ids += [form] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())], names=["key", "id"])
 
 
 def similar_forms(forms: DataFrame) -> DataFrame:
     """(form_a, form_b, cost) of forms that may be spellings of one name; each pair once, in order."""
-    forms = settle(forms.groupBy("form").agg(F.first("words").alias("words"), F.first("codes").alias("codes")))
-    cores = settle(forms.select("form", "words", "codes").mapInArrow(_cores, "form string, core string, length int, shard string, kind string"))
-
-    words = cores.where("kind in ('word', 'joined')").groupBy("shard", "core", "kind").agg(F.max("length").alias("length"))
-    sizes = words.where("kind = 'word'").groupBy("shard").agg(F.ceil(F.count("*") / TRIE_WORDS).cast("int").alias("parts"))
-    placed = words.join(sizes, "shard").withColumn("home", F.pmod(F.xxhash64("core"), F.col("parts")).cast("int"))
-    sent = placed.select("shard", "core", "length", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    sent = sent.select("shard", "part", "core", "length", "kind", ((F.col("home") == F.col("part")) & (F.col("kind") == "word")).alias("indexed"))
-    # By number, lest the small shuffle be drawn together into one task: the walks are what costs.
-    sent = sent.repartition(4 * shuffle_width(forms.sparkSession), "shard", "part")
-    pairs = sent.groupBy("shard", "part").applyInArrow(_trie_pairs, "shard string, kind string, core_a string, core_b string")
-
-    left = cores.select(F.col("form").alias("form_a"), F.col("core").alias("core_a"), "shard", "kind")
-    right = cores.where("kind = 'word'").select(F.col("form").alias("form_b"), F.col("core").alias("core_b"), "shard")
-    near = pairs.join(left, ["shard", "kind", "core_a"]).join(right, ["shard", "core_b"]).select("form_a", "form_b")
-
-    def of(kind: str, name: str) -> DataFrame:
-        return cores.where(F.col("kind") == kind).select(F.col("form").alias(name), "core")
-
-    equal = of("whole", "form_a").join(of("whole", "form_b"), "core").unionByName(of("short", "form_a").join(of("full", "form_b"), "core"))
-    both = near.unionByName(equal.select("form_a", "form_b")).select(F.least("form_a", "form_b").alias("form_a"), F.greatest("form_a", "form_b").alias("form_b"))
-    both = both.where("form_a <> form_b").distinct()
-    spelt = forms.select("form", "words")
-    compared = both.join(spelt.select(F.col("form").alias("form_a"), F.col("words").alias("wa")), "form_a").join(
-        spelt.select(F.col("form").alias("form_b"), F.col("words").alias("wb")), "form_b"
-    )
-    spread = compared.select("form_a", "form_b", "wa", "wb").repartition(shuffle_width(forms.sparkSession))
-    return spread.mapInArrow(_compare, "form_a string, form_b string, cost int")
+    width = shuffle_width(forms.sparkSession)
+    forms = settle(forms.groupBy("id", "form").agg(F.first("words").alias("words")).repartition(width, "id"))
+    keys = settle(forms.select("id", "words").mapInArrow(_keys, "key bigint, id bigint, typed boolean"))
+    near = settle(near_words(forms))
+
+    words = forms.select("id", F.posexplode("words").alias("pos", "word")).where("length(word) >= 4")
+    places = words.mapInArrow(_placed_codes, "id bigint, pos int, code string").join(near, "code")
+    around = places.groupBy("id").agg(F.collect_list(F.struct("code", "near")).alias("places")).join(forms, "id").select("id", "words", "places")
+    edited = around.mapInArrow(_edited, "key bigint, id bigint")
+
+    asked = edited.unionByName(keys.where("typed").select("key", "id")).withColumnRenamed("id", "a")
+    met = asked.join(keys.select("key", F.col("id").alias("b")), "key").where("a <> b")
+    both = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda i, f, w: forms.select(F.col("id").alias(i), F.col("form").alias(f), F.col("words").alias(w))
+    compared = both.join(side("a", "fa", "wa"), "a").join(side("b", "fb", "wb"), "b").select("fa", "fb", "wa", "wb").repartition(width)
+    return compared.mapInArrow(_compare, "form_a string, form_b string, cost int")
+
+
+def _placed_codes(batches):
+    for batch in batches:
+        codes = [code_of(w) for w in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.string())], names=["id", "pos", "code"])
 
 
 def variant_pairs(records: DataFrame) -> DataFrame:
