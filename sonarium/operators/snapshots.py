@@ -97,9 +97,11 @@ def snapshot_changes(
     laid = laid.mapInArrow(_chunk_starts, ", ".join(f"`{c}` {t}" for c, t in types.items()) + ", chunk string")
     laid = settle(laid.drop("cut"))
 
-    # A digest of two sums over independent hashes and the count; keys are part of the hash.
+    # A digest of the count and two sums of hashes begun with different numbers; the key is
+    # part of a hash, and so is, since a hash skips nulls, whether each value is one.
+    marked = [x for v in values for x in (F.isnull(v), F.col(v))]
     digest = [F.count("*").alias("n")] + [
-        F.sum(F.xxhash64(F.lit(seed), "key", *values).cast("decimal(20,0)")).alias(f"d{seed}") for seed in (1, 2)
+        F.sum(F.xxhash64(F.lit(seed), "key", *marked).cast("decimal(20,0)")).alias(f"d{seed}") for seed in (1, 2)
     ]
     chunks = laid.groupBy("snapshot", "part", "chunk").agg(*digest)
     seq = steps.withColumnRenamed("snapshot", "s")

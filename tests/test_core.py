@@ -53,6 +53,19 @@ def test_changes_equal_brute_force_over_many_chunks(spark):
     assert got == want | {("s2", k, "renamed") for k in old.keys() & new.keys() if old[k] != new[k]}
 
 
+def test_a_null_that_moves_is_a_change(spark):
+    columns = ["name", "status", "mbid", "source"]
+    rows, want = [], set()
+    for a in columns:
+        for b in columns:
+            if a != b:  # the same texts in order, a null before or behind
+                old, new = {c: None for c in columns}, {c: None for c in columns}
+                old[a], new[b] = "X", "X"
+                rows += [row("s1", f"{a}-{b}", **old), row("s2", f"{a}-{b}", **new)]
+                want.add(("s2", f"{a}-{b}", "renamed" if "name" in (a, b) else "changed"))
+    assert changes(spark, rows, [("s1", at(1)), ("s2", at(1))]) == want
+
+
 def test_same_text(spark):
     df = spark.createDataFrame([("  a \t b ",), ("",), (" ",), (None,), ("Å",)], "t string")
     assert [r[0] for r in df.select(same_text(F.col("t"))).collect()] == ["a b", None, None, None, "Å"]
