@@ -354,7 +354,7 @@ def near_words(forms: DataFrame) -> DataFrame:
     as_typed = coded.select("word", F.length("word").alias("length"), "typed", F.lit(False).alias("sounds"))
     by_sound = coded.groupBy(F.col("code").alias("word")).agg(F.max(F.length("word")).alias("length"), F.max("typed").alias("typed")).withColumn("sounds", F.lit(True))
     shard = F.explode(F.when(F.col("sounds"), _shards(F.col("word"), True)).otherwise(_shards(F.col("word"), False))).alias("shard")
-    sharded = settle(as_typed.unionByName(by_sound).select(shard, "word", "length", "typed", "sounds"))
+    sharded = settle(as_typed.unionByName(by_sound)).select(shard, "word", "length", "typed", "sounds")
 
     hot = settle(sharded.groupBy("shard").agg(F.ceil(F.count("*") / TRIE_WORDS).cast("int").alias("parts")).where("parts > 1"))
     placed = sharded.join(hot, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("home", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
