@@ -1,12 +1,13 @@
 """Template residue: unfilled placeholders, filler, error pages and script notices.
 
-Texts are cut into segments. Where a segment holds something that looks like a
-template's slot, the segments of all texts with the same words around it are aligned:
-the names that slots carry in delimiters no prose uses make up the vocabulary of
-variables, and a slot in delimiters that prose uses too counts if its name is made of
-that vocabulary or it stands where other records of the template have a slot.
-Segments that only hint at an error page or at filler count if their template is
-repeated over texts that consist of nothing else.
+Texts are cut into segments, and segments with something that residue may have are
+aligned over all texts. What looks like a template's variable is a slot candidate; the
+words on either side are its frames. A frame that different candidates fill in several
+texts is a template's slot, and candidates in one, or with names made of parts that
+several texts' delimited variables have, are placeholders left as they were, be they
+names, defaults or blanks. Segments with a word of pages that went wrong or of filler
+only seed: their runs of words, numbers and names as slots, are aligned, and a run that
+whole pages of nothing else repeat is a template of such pages, wherever it stands.
 """
 
 from __future__ import annotations
@@ -22,74 +23,57 @@ from pyspark.sql import functions as F
 
 from ..session import settle, table
 
-# A variable's name, and delimiters that hold one.
-_NAME = r"#?[A-Za-z][A-Za-z_.]*(?: [A-Z][A-Z_.]+)?"
+# A variable's name, and delimiters that hold one; those no prose uses, and those it may use.
+_NAME = r"#?[A-Za-z][A-Za-z0-9_.-]*(?: [A-Z][A-Z0-9_.]+)?"
 _FLAGS = r"(?:\s*\|\s*[a-z]+)?"
 STRONG = "|".join([
-    r"\{\{\s*(?:NAME)FLAGS\s*\}\}", r"\$\{\s*(?:NAME)\s*\}", r"\$\((?:NAME)\)", r"#\{(?:NAME)\}", r"<%=?\s*(?:NAME)\s*%>", r"\{%\s*(?:NAME)\s*%\}",
+    r"\{\{\s*(?:NAME|[0-9]+)FLAGS\s*\}\}", r"\$\{\s*(?:NAME)\s*\}", r"\$\((?:NAME)\)", r"#\{(?:NAME)\}", r"<%=?\s*(?:NAME)\s*%>", r"\{%\s*(?:NAME)\s*%\}",
     r"%%(?:NAME)%%", r"%\((?:NAME)\)[sd]", r"\[\[(?:NAME)FLAGS\]\]", r"@@(?:NAME)@@", r"\*\|(?:NAME)\|\*", r"\?\?(?:NAME)\?\?",
     r"\b__[A-Z][A-Za-z_.]*[A-Za-z]__", r"\b[A-Z][A-Z_.]*_PLACEHOLDER\b", r"\[YOUR (?:NAME)\]", r"[\[<(](?:insert|add) (?:NAME)(?: here)?[\])>]",
     r"&lt;(?:insert )?(?:NAME)(?: here)?&gt;",
 ]).replace("NAME", _NAME).replace("FLAGS", _FLAGS)
-WEAK = "|".join([r"\{(?:NAME)\}", r"<(?:NAME)>", r"\[(?:NAME)\]", r"(?<![\w:]):(?:NAME):(?![\w:])", r"%(?:NAME)%", r"\[(?:NAME) TBD\]"]).replace("NAME", _NAME)
+WEAK = "|".join([
+    r"\{(?:NAME|[0-9]+)?\}", r"<(?:NAME)>", r"\[(?:NAME)?\]", r"(?<![\w:]):(?:NAME):(?![\w:])", r"%(?:NAME)%", r"\[(?:NAME) TBD\]",
+    r"\b[a-z]+(?:[A-Z][a-z]+)+\b", r"\b[A-Za-z]+(?:_[A-Za-z]+)+\b", r"\b[A-Z]{6,}\b", r"\(\)", r"_{3,}",
+]).replace("NAME", _NAME)
 #: Words of a delimited slot that aren't part of a variable's name.
-_NOISE = ["your", "insert", "add", "here", "placeholder", "upper", "lower", "default", "title", "tbd", "lt", "gt", "s", "d"]
-
-# What script notices, error pages and filler say, by language, in lower case without accents.
-_SCRIPT = r"(?:javascript|\bjs\b|\bscripts?\b|scripting|noscript|скрипт|スクリプト|\bskripte?n?\b)"
-_WANTED = (
-    r"(?:\benable|\ballow|\bactiv|\baktiv|turn(?:ed)? on|switch|\bhabilit|\bpermit|\bautori[sz]|\brequire|\bative\b|disabled|blocked|must be|\bneeds?\b|"
-    r"\berlaub|\beinschalt|необходим|включ|разреш|有効|許可|verify that you|not support|\breload|out of date)"
-)
-_LATIN = r"\b(?:lorem|ipsum|dolor|amet|consec\w*|adipisc\w*|eiusmod|tempor|incidid\w*|labore|dolore|magna|aliqua|enim|minim|veniam|quis|nostrud|nulla|pariatur|sit|sed|ut|elit)\b"
-STRICT = "|".join([
-    f"{_WANTED}.{{0,60}}{_SCRIPT}", f"{_SCRIPT}.{{0,60}}{_WANTED}", r"your browser is out of date", r"checking your browser", r"noscript\s*:",
-    r"\b(?:error|erreur|fehler|erro|ошибка|エラー|http|status)(?: code)?\s*[:#(]?\s*[1-5]\d\d\b", r"\b[45]\d\d\b[\s:(—–-]*(?:not found|forbidden|service unavailable|bad gateway|gateway time|gone|internal server|too many|bad request|unauthori)",
-    r"(?:not found|forbidden|service unavailable|gone|gateway|server error)\s*\([45]\d\d\)", r"\bservice unavailable\b", r"\bbad gateway\b", r"gateway time-?out", r"internal server error",
-    r"too many requests", r"\brequest failed\b", r"something (?:broke|went wrong)", r"unexpected (?:problem|error) occurred", r"could not (?:complete your|load (?:this|the))",
-    r"did not answer in time", r"\bfatal error\b", r"traceback \(most recent", r"\buncaught\b.{0,30}error", r"\bpage (?:not found|introuvable)\b", r"pagina nao encontrada", r"pagina no encontrada",
-    r"cette page est introuvable", r"seite (?:wurde )?nicht gefunden", r"(?:erro|error) interno d", r"no such (?:release|profile|artist|album|page|playlist)\b", r"not available in your (?:region|country)",
-    r"^\W*access denied\b", r"acceso denegado", r"zugriff verweigert", r"acces refuse", r"request was blocked", r"account has been suspended", r"session has expired", r"down for maintenance",
-    r"(?:please )?try again (?:later|in \d)", r"tente novamente", r"intentelo (?:de nuevo|mas tarde)", r"bitte spater erneut", r"reessayez", r"\bretry (?:in|after) \d", r"\bis offline\b", r"removed or renamed",
-    r"el enlace que siguio", r"страница не найдена", r"попробуйте (?:позже|еще)", r"ページが見つかりません", r"go back to the start page",
-    r"lorem ipsum", r"\bconsectetur\b", r"dolor sit amet", r"\bblindtext\b", r"\b(?:dummy|sample|mock|filler|placeholder) (?:text|content|biography|paragraph|copy)\b", r"(?:description|text|bio|biography|content|story) goes here",
-    r"replace (?:this|with)\b.{0,30}\btext\b|replace this text", r"\bclick to edit\b", r"add your (?:first|own) ", r"write two or three sentences", r"paste (?:the|your) .{0,40}here", r"texte provisoire", r"texto provisorio",
-    r"texto de (?:ejemplo|exemplo)", r"sustituir antes", r"a remplacer par", r"bitte ersetzen", r"hier steht spater", r"текст-заполнитель|здесь будет текст|текст будет|ここに(?:テキスト|文章)|ダミーテキスト|仮のテキスト",
-    r"\(ignore(?: this| me)?\)", r"\btodo\b", r"coming soon coming soon", r"\basdf\b", r"\bfoo bar\b", r"^\W*(?:null|undefined|nan|\[object object\])\W*$", r"\[object object\]", r"\bxxx+ xxx+", r"\bblah blah\b",
-    r"\b(?:type|insert|enter|put|paste|write|add|replace)\b.{0,60}\b(?:in this (?:box|field)|before publishing|here\b\W*$)",
-    r"^\W*(?:type|insert|enter|put|paste|write|add|replace)\b.{0,40}\b(?:bio|summary|headline|description|text|paragraph|liner notes|caption|story|photo)\b.{0,40}$",
-    r"\bexample (?:copy|paragraph|text|biography|content)", r"(?:playlist|album|profile|release|track|artist|page) you asked for", r"^\W*(?:text[\s.]+){3,}",
-    r"do(?:es)? not have permission to", r"upstream connect", r"reset before headers", r"connection (?:reset|refused|timed out)",
-    f"(?:{_LATIN}.{{0,24}}){{3}}",
-])
-HINT = "|".join([
-    _SCRIPT, r"\bcookies?\b", r"\bbrowser\b|navegador|navigateur", r"\b(?:error|erreur|fehler|erro|http|status|exception)\b|ошибк|エラー", r"not found|introuvable|encontrad|gefunden|найден|unavailable|forbidden|denied|blocked|gateway|suspended",
-    r"expired|maintenance|offline|retry|\breload|refresh|\boops\b|\bsorry\b|\bhmm\b|try later|slow down|no longer (?:exists|available)|does not exist|log in|sign in", r"placeholder|platzhalter|dummy|lorem|ipsum|filler|goes here|your (?:name|text|bio) here|provisoi|provisor|ejemplo|exemplo|beispiel",
-    r"\b(?:bla|blah|test|text|abc|title|bio)\.\.\.", r"^\W*(?:text|test|bio|title|tbd|tba|n/?a|null|none|undefined|untitled)\W*$",
-])
-#: Pieces of text without which none of the phrases above can stand; a quick search for all at once.
-GATE = """
-script|js|スクリプト|скрипт|skript|browser|navegador|navigateur|cookie|error|erreur|fehler|erro |erro:|ошибк|エラー|http|status|exception|not found|
-introuvable|encontrad|gefunden|найден|unavailable|forbidden|denied|blocked|gateway|suspended|expired|maintenance|offline|retry|reload|refresh|oops|
-sorry|hmm|try again|try later|slow down|no longer|does not exist|log in|sign in|placeholder|platzhalter|dummy|lorem|ipsum|dolor|filler|goes here|
-your name here|your text here|your bio here|provis|ejemplo|exemplo|beispiel|something |request|unexpected|could not|did not answer|traceback|
-uncaught|no such|not available|acceso|acces refuse|zugriff|tente nov|intentelo|spater|reessayez|removed or|enlace|страниц|попробуйте|ページ|
-start page|consec|blindtext|sample |mock |example|click to| here|in this box|in this field|before publishing|add your|paste |replace |remplacer|ersetzen|hier steht|текст|
-テキスト|文章|todo|coming soon|asdf|foo bar|write two|undefined|[object|xxx|blah|bla...|permission|
-upstream|reset|timed out|refused|you asked|too many|gone|server| sit |amet|(ignore
+_NOISE = {"your", "insert", "add", "here", "placeholder", "upper", "lower", "default", "title", "tbd", "lt", "gt", "s", "d"}
+_SLOT_SIGNS = re.compile(r"[{\[<]|\$\(|%%|%[A-Za-z(]|\?\?|\*\||@@|&lt;|_|PLACEHOLDER|:[A-Za-z_.]+:|\((?:add|insert) |\(\)|[a-z][A-Z]|[A-Z]{6}")
+
+# Pieces of words by which pages that went wrong, script notices and filler are looked for, in lower case without accents.
+SEEDS = """
+script|js|スクリプト|скрипт|skript|browser|navegador|navigateur|cookie|error|erreur|fehler|erro |erro:|ошибк|エラー|http|status|exception|traceback|uncaught|
+not found|introuvable|encontrad|gefunden|найден|ページ|страниц|unavailable|forbidden|denied|acceso|acces refuse|zugriff|permission|blocked|suspended|expired|
+gateway|upstream|server|connection|conexao|conexion|connexion|verbindung|database|datenbank|maintenance|offline|timed out|reset|refused|too many|gone|request|
+retry|reload|refresh|try again|try later|slow down|tente nov|intentelo|spater|reessayez|попробуйте|oops|sorry|hmm|unexpected|something |could not|did not answer|
+no such|no longer|not available|does not exist|you asked|removed or|enlace|start page|log in|sign in|
+placeholder|dummy|lorem|ipsum|dolor|amet|consec| sit |filler|blindtext|sample |mock |demo text|demo copy|demo content|demo paragraph|demo biography|example|ejemplo|exemplo|beispiel|provis|remplacer|ersetzen|hier steht|
+текст|テキスト|文章|goes here| here|in this box|in this field|before publishing|click to|add your|paste |replace |write two|words)|(max|(ignore|
+your name|your text|your bio|biography|todo|coming soon|asdf|foo bar|undefined|null|[object|nan|xxx|blah|bla...
 """.replace("\n", "").split("|")
+#: Verbs that an instruction to the writer begins with.
+_VERBS = re.compile(r"(?:^|[.!?;。]\s+|\n)[ \-•*]*(?:type|insert|enter|put|paste|write|add|replace) ")
 _ACCENTS = str.maketrans("áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
-_QUOTED = re.compile(r"\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|„[^“”\n]{1,80}[“”]|«[^»\n]{1,80}»|「[^」\n]{1,80}」")
+_QUOTED = re.compile(r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」")
 _CUT = re.compile(r"(?<=[.!?;。])\s+|\n+")
-_AGAIN = re.compile(r"\b([^\W\d_]{2,12})\b(?:[^\w\n]{1,5}\1\b){4}")
+_AGAIN = re.compile(r"\b([^\W\d_]{2,12})\b(?:[^\w\n]{1,5}\1\b){3}")
 _MASH = re.compile(r"\b[b-df-hj-np-tv-xz]{3,}\b|[b-df-hj-np-tv-xz]{5}|q[a-tv-z]|[a-z];[a-z]")
-#: Texts with a template of hints, and the share of them that are nothing else, for it to count.
-REPEATED, WHOLE_SHARE = 2, 0.6
-_SLOT_SIGNS = re.compile(r"[{\[<]|\$\(|%%|%[A-Za-z(]|\?\?|\*\||@@|&lt;|__|PLACEHOLDER|:[A-Za-z_.]+:|\((?:add|insert) ")
-#: Verbs that an instruction to the writer begins with.
-_VERBS = ("type ", "insert ", "enter ", "put ", "paste ", "write ", "add ", "replace ")
-#: Segments up to this length are read in any case.
-_SHORT = 24
+_WORDS = re.compile(r"[^\W_]+")
+_NUMBERS = re.compile(r"\b(?=[0-9A-Fa-f]*\d)[0-9A-Fa-f]{6,}\b|\d+")
+_NAMES = regex.compile(r"(?<=[\p{Ll},] )\p{Lu}[\p{L}'’-]+(?: (?:& )?\p{Lu}[\p{L}'’-]+)*")
+_SLOT_WORDS, _DELIMITED = {"n", "0"}, re.compile(r"[^A-Za-z_(]")
+_GAPS = regex.compile(r"[^\p{L}0]+")
+
+#: Words of a run.
+RUN = 3
+#: Whole pages that must have a run, and their share of the texts with it, for it to be a template of such pages.
+PAGES, PAGE_SHARE = 2, 0.3
+#: Words besides the seeded segments that a whole page may have (a menu, a name), and how many for each seeded word.
+OTHER_WORDS, OTHER_RATE = 12, 3.0
+#: Words for each seed that a whole page may have at most, and letters from which a word without blanks counts as two.
+SEED_RATE, LONG_WORD = 16, 12
+#: Texts and different fillers that make a frame a slot, and texts that make a part of a name a variable's.
+FRAME_TEXTS, NAME_TEXTS = 2, 2
 
 
 def plain_of(text: str) -> str:
@@ -100,17 +84,17 @@ def plain_of(text: str) -> str:
     return text if text.isascii() else text.translate(_ACCENTS)
 
 
-def template_of(segment: str) -> str:
-    """A segment with its numbers and names as slots."""
-    out = re.sub(r"\d+", "0", segment)
-    out = regex.sub(r"(?<=[\p{Ll},;:] )\p{Lu}[\p{L}'’-]+(?: (?:& )?\p{Lu}[\p{L}'’-]+)*", "N", out)
-    return regex.sub(r"[^\p{L}0]+", " ", out.lower()).strip()
+def template_words(segment: str) -> list[list[str]]:
+    """The words of a segment with its numbers as slots, and, if it has any, with its names too; quotes left out."""
+    numbered = _NUMBERS.sub("0", _QUOTED.sub(" ", segment))
+    unnamed = _NAMES.sub("N", numbered)
+    return [_GAPS.sub(" ", out.lower()).split() for out in ([numbered] if unnamed == numbered else [numbered, unnamed])]
 
 
-def name_words(named: str) -> list[str]:
-    """The parts of a slot's name: camel case, points and underscores part them."""
+def name_parts(named: str) -> list[str]:
+    """The parts of a slot's name in order: camel case, points, hyphens and underscores part them."""
     parts = re.sub(r"[^a-z]+", " ", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()).split()
-    return sorted({x for x in parts if x not in _NOISE})
+    return [x for x in parts if x not in _NOISE]
 
 
 def _looks_mashed(plain: str) -> bool:
@@ -123,91 +107,131 @@ class _Reader:
     """Finds what concerns us in one text."""
 
     def __init__(self):
-        self.gate = ahocorasick.Automaton()
-        for word in GATE:
-            self.gate.add_word(word, word)
-        self.gate.make_automaton()
-        self.strict, self.hint = regex.compile(STRICT), regex.compile(HINT)
-        self.slots = [(True, regex.compile(f"((?:\\p{{L}}+ )?)({STRONG})((?: \\p{{L}}+)?)")), (False, regex.compile(f"((?:\\p{{L}}+ )?)({WEAK})((?: \\p{{L}}+)?)"))]
-
-    def read(self, text: str) -> list[tuple]:
-        """Rows (kind, strong, names, frame, template), kind being slot, notice, hint or other; a text of real content has one other."""
-        rows: list[tuple] = []
-        other = False
-        whole = plain_of(text)
-        if _AGAIN.search(whole) and _AGAIN.search(_QUOTED.sub(" ", whole)):
-            rows.append(("notice", None, None, None, None))
+        self.seeds = ahocorasick.Automaton()
+        for word in SEEDS:
+            self.seeds.add_word(word, word)
+        self.seeds.make_automaton()
+        self.strong, self.slots = regex.compile(STRONG), regex.compile(f"(?P<s>{STRONG})|(?:{WEAK})")
+
+    def read(self, text: str) -> tuple[list[tuple], list[str], bool, bool]:
+        """(slots, runs, whole, filler): slot candidates (strong, parts, filler, frames), runs of seeded segments, whether
+        there is nothing else, and whether words are repeated or keys mashed."""
+        all_plain = plain_of(text)
+        mashed = _looks_mashed(all_plain)
+        again = _AGAIN.search(all_plain) is not None
+        signs = _SLOT_SIGNS.search(text) is not None
+        if not (mashed or again or signs or _VERBS.search(all_plain) or next(self.seeds.iter(all_plain), None)):
+            return [], [], False, False
+        slots: list[tuple] = []
+        runs: set[str] = set()
+        filler = again and _AGAIN.search(_QUOTED.sub(" ", all_plain)) is not None
+        seeded = other = found = 0
         for segment in _CUT.split(text):
-            if not segment.strip():
+            n = sum(1 + len(w) // LONG_WORD for w in _WORDS.findall(segment))
+            if not n and not segment.strip():
+                continue
+            here = self._slots(segment) if signs and _SLOT_SIGNS.search(segment) else []
+            slots += here
+            if any(strong for strong, *_ in here):
+                seeded += n
+                continue
+            bare = _QUOTED.sub(" ", plain_of(segment))
+            if mashed and _looks_mashed(bare):
+                filler = True
+                seeded += n
                 continue
-            looks = False
-            if _SLOT_SIGNS.search(segment):
-                for strong, pattern in self.slots:
-                    for m in pattern.finditer(segment):
-                        names = name_words(m.group(2))
-                        if names:
-                            looks = True
-                            rows.append(("slot", strong, names, f"{m.group(1).lower()}<>{m.group(3).lower()}", None))
-            plain = plain_of(segment)
-            mashed = _looks_mashed(plain)
-            told = len(plain) <= _SHORT or plain.lstrip(" -•*").startswith(_VERBS) or next(self.gate.iter(plain), None) is not None
-            if not mashed and not told:
-                other = other or (not looks and sum(c.isalpha() for c in plain[:40]) > 2)
+            hits = [w for _, w in self.seeds.iter(bare)]
+            if not hits and not _VERBS.match(bare.lstrip()):
+                other += 0 if any(_DELIMITED.match(s[2]) for s in here) else n
                 continue
-            bare = _QUOTED.sub(" ", plain)
-            if self.strict.search(bare) or (mashed and _looks_mashed(bare)):
-                rows.append(("notice", None, None, None, None))
-            elif self.hint.search(bare):
-                rows.append(("hint", None, None, None, template_of(segment)))
-            else:
-                other = other or not looks
-        if other:
-            rows.append(("other", None, None, None, None))
-        return rows
+            seeded += n
+            found += max(1, len(hits)) * SEED_RATE - n
+            for words in template_words(segment):
+                runs.update(" ".join(words[i : i + RUN]) for i in range(max(1, len(words) - RUN + 1)) if sum(w not in _SLOT_WORDS for w in words[i : i + RUN]) > (len(words) > 1))
+            runs.update("~".join(hits[i : i + RUN]) for i in range(len(hits) - RUN + 1))
+        whole = found >= 0 and other <= OTHER_WORDS and other <= OTHER_RATE * seeded
+        if whole and runs:
+            runs.add(" ".join(w for segment in _CUT.split(text) for w in template_words(segment)[0]))  # the page itself
+        return slots, sorted(runs), whole, filler
+
+    def _slots(self, segment: str) -> list[tuple]:
+        out = []
+        for m in self.slots.finditer(segment):
+            parts = name_parts(m.group())
+            strong = m.group("s") is not None
+            if strong and not parts and not any(c.isdigit() for c in m.group()):
+                continue
+            left, right = _WORDS.findall(segment[: m.start()].lower())[-2:], _WORDS.findall(segment[m.end() :].lower())[:2]
+            frames = [f"{' '.join(left)} <>"] if len(left) == 2 else []
+            frames += [f"<> {' '.join(right)}"] if len(right) == 2 else []
+            out.append((strong, parts, m.group(), frames))
+        return out
 
 
-_MARKS = "doc_id bigint, kind string, strong boolean, names array<string>, frame string, template string, whole boolean"
+_SLOT = pa.struct([("strong", pa.bool_()), ("parts", pa.list_(pa.string())), ("filler", pa.string()), ("frames", pa.list_(pa.string()))])
+_MARKS = "doc_id bigint, slots array<struct<strong:boolean,parts:array<string>,filler:string,frames:array<string>>>, runs array<string>, whole boolean, filler boolean"
 
 
 def _marks(batches):
     reader = _Reader()
-    types = (pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.string(), pa.string(), pa.bool_())
     for batch in batches:
         out = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows = reader.read(text)
-            whole = all(r[0] != "other" for r in rows)
-            out += [(doc, *r, whole) for r in rows if r[0] != "other"]
-        cols = list(zip(*out)) or [()] * len(types)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "kind", "strong", "names", "frame", "template", "whole"]
-        )
+            slots, runs, whole, filler = reader.read(text)
+            if slots or runs or filler:
+                named = [dict(zip(("strong", "parts", "filler", "frames"), s)) for s in slots]
+                out.append((doc, named, runs, whole, filler))
+        cols = list(zip(*out)) or [()] * 5
+        types = (pa.int64(), pa.list_(_SLOT), pa.list_(pa.string()), pa.bool_(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "slots", "runs", "whole", "filler"])
+
+
+def placeholders(marks: DataFrame) -> DataFrame:
+    """(doc_id, template) of texts with a variable left in: template is a frame that others fill too; null where the name
+    or the delimiters alone tell it."""
+    slots = marks.select("doc_id", F.monotonically_increasing_id().alias("row"), F.posexplode("slots").alias("place", "s")).select("doc_id", "row", "place", "s.*")
+    slots = settle(slots)
+    # parts of names, and parts in a row written as one, that variables in delimiters have in several texts
+    n = F.size("parts")
+    spans = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(i, n), lambda j: F.array_join(F.slice("parts", i, j - i + 1), ""))))
+    named = slots.where("strong and size(parts) > 0").select("doc_id", F.explode(F.array_distinct(spans)).alias("part"))
+    variables = named.groupBy("part").agg(F.count_distinct("doc_id").alias("texts")).where(F.col("texts") >= NAME_TEXTS).select("part")
+    parts = slots.select("row", "place", F.size("parts").alias("size"), F.explode("parts").alias("part")).join(variables.withColumn("known", F.lit(1)), "part", "left")
+    known = parts.groupBy("row", "place").agg((F.sum(F.coalesce("known", F.lit(0))) == F.max("size")).alias("known"))
+    slots = settle(slots.join(known, ["row", "place"], "left").withColumn("known", F.coalesce("known", F.lit(False))))
+
+    framed = slots.select("doc_id", "row", "place", "strong", "known", "filler", F.explode("frames").alias("frame"))
+    sure = F.col("strong") | F.col("known")
+    frames = framed.groupBy("frame").agg(
+        F.count_distinct("doc_id").alias("texts"), F.count_distinct("filler").alias("fillers"), F.count_if(sure).alias("sure"), F.count("*").alias("n")
+    ).where((F.col("texts") >= FRAME_TEXTS) & (F.col("fillers") >= 2) & (F.col("sure") * 2 >= F.col("n"))).select("frame")
+    aligned = framed.join(frames, "frame").groupBy("row", "place").agg(F.min("frame").alias("template"))
+    told = slots.join(aligned, ["row", "place"], "left")
+    bare = ~F.col("filler").rlike(r"[^A-Za-z_]")  # an identifier without delimiters needs both its name and its place
+    left_in = F.col("strong") | F.when(bare, F.col("known") & F.col("template").isNotNull()).otherwise(F.col("known") | (F.col("template").isNotNull() & ((F.size("parts") == 0))))
+    return told.where(left_in).groupBy("doc_id").agg(F.min("template").alias("template"))
+
+
+def page_templates(marks: DataFrame) -> DataFrame:
+    """(doc_id, template) of texts with a run of words that whole pages of nothing else repeat."""
+    runs = marks.select("doc_id", "whole", F.explode("runs").alias("run"))
+    counts = runs.groupBy("run").agg(F.count("*").alias("texts"), F.count_if("whole").alias("pages"))
+    repeated = counts.where((F.col("pages") >= PAGES) & (F.col("pages") >= PAGE_SHARE * F.col("texts"))).select("run")
+    return runs.join(repeated, "run").groupBy("doc_id").agg(F.min("run").alias("template"))
 
 
 def residue(documents: DataFrame) -> DataFrame:
-    """(doc_id, why) of each text that is residue or has some: placeholder, notice or template.
+    """(doc_id, why, template) of each text that is residue or has some: placeholder, page or filler.
 
     ``documents`` has doc_id and text; other columns are ignored. Null, empty and blank
     texts have none. Repeated rows count once; texts of any length are read whole.
+    ``template`` is a frame or a run of words that the text has in common with others.
     """
     rows = documents.where("doc_id is not null and trim(text) <> ''").select("doc_id", "text")
     marks = settle(rows.mapInArrow(_marks, _MARKS).distinct())
-
-    strong, weak = marks.where("kind = 'slot' and strong"), marks.where("kind = 'slot' and not strong")
-    vocabulary = strong.select("doc_id", F.explode("names").alias("part")).groupBy("part").agg(F.count_distinct("doc_id").alias("texts")).where("texts >= 2")
-    frames = strong.where("length(frame) > 4").groupBy("frame").agg(F.count_distinct("names").alias("fillers")).where("fillers >= 2")
-    parts = weak.select("doc_id", "names", "frame", F.explode("names").alias("part"))
-    numbered = parts.join(vocabulary.select("part", F.lit(1).alias("known")), "part", "left")
-    by_name = numbered.groupBy("doc_id", "names").agg(F.sum("known").alias("known")).where(F.col("known") >= F.size("names")).select("doc_id")
-    by_frame = numbered.where("known = 1").join(frames, "frame", "left_semi").select("doc_id")
-    placeholders = strong.select("doc_id").unionByName(by_name).unionByName(by_frame).distinct().withColumn("why", F.lit("placeholder"))
-
-    notices = marks.where("kind = 'notice'").select("doc_id").distinct().withColumn("why", F.lit("notice"))
-    hints = marks.where("kind = 'hint'").select("doc_id", "template", "whole").distinct()
-    templates = hints.groupBy("template").agg(F.count("*").alias("texts"), F.count(F.when(F.col("whole"), 1)).alias("wholes"))
-    templates = templates.where((F.col("texts") >= REPEATED) & (F.col("wholes") >= WHOLE_SHARE * F.col("texts")))
-    repeated = hints.join(templates, "template", "left_semi").select("doc_id").distinct().withColumn("why", F.lit("template"))
-    return placeholders.unionByName(notices).unionByName(repeated)
+    filler = marks.where("filler").select("doc_id", F.lit("filler").alias("why"), F.lit(None).cast("string").alias("template"))
+    of = lambda df, why: df.select("doc_id", F.lit(why).alias("why"), "template")
+    return of(placeholders(marks), "placeholder").unionByName(of(page_templates(marks), "page")).unionByName(filler)
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:

@@ -225,10 +225,32 @@ def test_every_shared_span_has_a_fingerprint():
 
 
 # 9
+def residue_of(spark, texts):
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id bigint, text string, why string")
+    return {r.doc_id: (r.why, r.template) for r in residue.residue(df.union(df.limit(3))).collect()}
+
+
 def test_residue(spark):
-    bad = {1: "Welcome to {{ artist_name }}!", 2: "A song by ${CITY} and more.", 3: "The band of {city} plays.", 4: "Please enable JavaScript to view this page.", 5: "503 Service Unavailable.", 6: "Lorem ipsum dolor sit amet", 7: "abc, abc, abc, abc, abc, abc", 8: "Real text here. This is a placeholder paragraph.", 9: "[[city]] again", 14: "%%ARTIST_NAME%%"}
+    pages = ["Please enable JavaScript to view this page.", "The Band | Please enable JavaScript to view this page!", "503 Service Unavailable.", "503 SERVICE UNAVAILABLE", "Lorem ipsum dolor sit amet", "Lorem ipsum zut dolor pam sit amet kro."]
+    bad = {1: "Welcome to {{ artist_name }}!", 2: "A song by ${CITY} and more.", 3: "The band of {city} plays.", 7: "abc, abc, abc, abc, abc, abc", 8: "Real text here, and much of it, by a band of four. Please enable JavaScript to view this page.", 9: "[[city]] again", 14: "%%ARTIST_NAME%%"}
+    bad |= dict(enumerate(pages, 30))
     good = {10: "X wrote the visuals in JavaScript, and the show ran for 404 minutes.", 11: '"Access Denied", the closing piece, has a flute.', 12: "Set list: 1. Song {dub}", 13: "A tune [live] and a drum (official)", 20: None, 21: "", 22: "  \n", 23: "long text " * 30000}
-    rows = [(i, t, "x") for i, t in {**bad, **good}.items()]
-    df = spark.createDataFrame(rows + rows[:3], "doc_id bigint, text string, why string")
-    assert {r.doc_id for r in residue.residue(df).select("doc_id").distinct().collect()} == set(bad)
-    assert residue.residue(df.limit(0)).count() == 0
+    assert set(residue_of(spark, {**bad, **good})) == set(bad)
+    assert residue_of(spark, {1: None}) == {}
+
+
+def test_slots_are_induced_from_templates(spark):
+    # the names are in no list; in braces and without they are known by the templates around them and by each other
+    filled = {i: f"For bookings in Tusk write to {n}. See you there." for i, n in enumerate(("Kravo", "Zupelo", "Olm"))}
+    left = {10: "For bookings in Tusk write to {{zorp.quxBlee}}. See you there.", 11: "For bookings in Rilm write to %%ZORP_QUX%%. See you there.", 12: "Good old Vareny. For bookings in Rilm write to {quxZorp} now.", 13: "For bookings in Olm write to (). See you there.",
+            14: "For bookings in Olm write to zorp_qux. See you there.", 15: "Her {zorp} was late."}
+    lone = {20: "He said {blee-blop} in a song.", 21: "An album by zorp_qux itself was late.", 22: "Nothing () here."}
+    got = residue_of(spark, {**filled, **left, **lone})
+    assert set(got) == set(left) and {got[i] for i in (10, 11, 13, 14)} == {("placeholder", "<> see you")}
+
+
+def test_a_template_of_pages_is_what_whole_pages_repeat(spark):
+    # every text has the seed; only one wording fills pages of its own
+    page = "Zuga browser tapplo wemi krast."
+    texts = {1: page, 2: "MENU\n" + page.upper(), 3: "A long and true story of a band that plays in a barn above a bakery. " + page, 4: "Their browser song is a long and true story of a band that plays in a barn.", 5: "Their browser song has a long and odd story of a band that plays in a barn."}
+    assert set(residue_of(spark, texts)) == {1, 2, 3}
