@@ -29,11 +29,14 @@ def build_session(app: str = "sonarium", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is
-    taken and set, so that later calls find the same one.
+    Only where that is unset and the session runs on one machine, as in tests, a
+    temporary folder is taken and set, so that later calls find the same one; on a
+    cluster that is an error, for executors don't see each other's folders.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not (spark.conf.get("spark.master", None) or spark.sparkContext.master).startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -55,6 +58,24 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(at) if s.isDirectory()) if files.exists(at) else []
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """Whether what was written to a folder is complete."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
