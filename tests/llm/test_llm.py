@@ -87,18 +87,45 @@ def test_search_is_as_wide_as_the_comparison(spark):
 
 
 # 3
+TAGS = "record string, tag string, occurrences int"
+
+
+def read_counts(df):
+    return {(r.term, r.occurrences, r.records) for r in df.collect()}
+
+
 def test_term_counts_by_increments_equal_a_recount(spark):
-    schema = "record string, tag string, occurrences int"
-    before = spark.createDataFrame([("r1", "Rock ", 1), ("r1", "rock", 1), ("r2", "jazz", 1), ("r3", "jazz", 1), ("r4", None, 1), ("r4", " ", 1), (None, "x", 1)], schema)
-    after = spark.createDataFrame([("r1", "Rock ", 1), ("r2", "jazz", 1), ("r5", "É", 1), ("r6", "É", 1)], schema)
+    before = spark.createDataFrame([("r1", "Rock ", 1), ("r1", "rock", 1), ("r2", "jazz", 1), ("r3", "jazz", 1), ("r4", None, 1), ("r4", " ", 1), (None, "x", 1)], TAGS)
+    after = spark.createDataFrame([("r1", "Rock ", 1), ("r2", "jazz", 1), ("r5", "É", 1), ("r6", "É", 1)], TAGS)
     b, a = term_counts.record_terms(before), term_counts.record_terms(after)
-    kept = term_counts.TermCounts(spark).merge(term_counts.signed_changes(None, b)).merge(term_counts.signed_changes(b, a)).counts()
-    whole = term_counts.TermCounts(spark).merge(term_counts.signed_changes(None, a)).counts()
-    read = lambda df: {(r.term, r.occurrences, r.records) for r in df.collect()}
-    assert read(kept) == read(whole) == {("rock", 1, 1), ("jazz", 1, 1), ("é", 2, 2)}
+    kept = term_counts.TermCounts(spark).update(b)
+    assert read_counts(kept.counts()) == {("rock", 2, 1), ("jazz", 2, 2)}
+    kept = term_counts.TermCounts(spark, kept.path)  # as another process would
+    kept.update(a)
+    assert kept.version == 2
+    whole = term_counts.TermCounts(spark).update(a).counts()
+    assert read_counts(term_counts.TermCounts(spark, kept.path).counts()) == read_counts(whole) == {("rock", 1, 1), ("jazz", 1, 1), ("é", 2, 2)}
     marks = term_counts.marked(whole, spark.createDataFrame([(5,)], "n bigint"), rare_below=2, common_share=0.3)
     assert {(r.term, r.mark) for r in marks.collect()} == {("rock", "rare"), ("jazz", "rare"), ("é", "common")}
-    assert term_counts.TermCounts(spark).merge(term_counts.signed_changes(None, term_counts.record_terms(before.limit(0)))).counts().count() == 0
+    assert term_counts.TermCounts(spark).update(a.limit(0)).counts().count() == 0
+
+
+def test_an_increment_writes_what_it_touches(spark, monkeypatch):
+    monkeypatch.setattr(term_counts, "BUCKET_ROWS", 20)
+    rows = [(f"r{i}", f"t{j}", 1) for i in range(40) for j in range(i, i + 10)]
+    first = term_counts.record_terms(spark.createDataFrame(rows, TAGS))
+    kept = term_counts.TermCounts(spark).update(first)
+    changed = [r for r in rows if r[0] != "r3"] + [("r3", "t3", 1), ("new", "t3", 2)]
+    kept = term_counts.TermCounts(spark, kept.path).update(term_counts.record_terms(spark.createDataFrame(changed, TAGS)))
+    want = {}
+    for r, t, n in changed:
+        o, k = want.get(t, (0, set()))
+        want[t] = (o + n, k | {r})
+    assert read_counts(kept.counts()) == {(t, o, len(k)) for t, (o, k) in want.items()}
+    written = spark.read.parquet(f"{kept.path}/records/v=2")
+    assert written.count() < 0.7 * len(rows) and written.where("record = 'r3'").count() == 1
+    same = kept.update(term_counts.record_terms(spark.createDataFrame(changed, TAGS)))
+    assert same.version == 2  # nothing changed, nothing is written
 
 
 # 4
@@ -246,7 +273,7 @@ def test_slots_are_induced_from_templates(spark):
             14: "For bookings in Olm write to zorp_qux. See you there.", 15: "Her {zorp} was late."}
     lone = {20: "He said {blee-blop} in a song.", 21: "An album by zorp_qux itself was late.", 22: "Nothing () here."}
     got = residue_of(spark, {**filled, **left, **lone})
-    assert set(got) == set(left) and {got[i] for i in (10, 11, 13, 14)} == {("placeholder", "<> see you")}
+    assert set(got) == set(left) and {got[i] for i in (10, 11, 13, 14)} <= {("placeholder", "<> see you"), ("placeholder", "write to <>")}
 
 
 def test_a_template_of_pages_is_what_whole_pages_repeat(spark):
