@@ -70,13 +70,20 @@ def _signed(number: int) -> int:
 
 
 def _forms(batches):
-    """Rows (name, form, id, words) of names: the form is the plain words in order, the id its hash."""
+    """Rows (name, form, id, words) of names: the form is the plain words in order, the id its hash.
+
+    A long single word that begins with an article may be a whole name typed as one: it has a second form without.
+    """
     for batch in batches:
-        names = batch.column(0)
-        words = [tokens(s) for s in names.to_pylist()]
-        forms = [" ".join(w) for w in words]
-        ids = [_signed(xxhash.xxh64_intdigest(f)) for f in forms]
-        yield pa.RecordBatch.from_arrays([names, pa.array(forms), pa.array(ids, pa.int64()), pa.array(words, pa.list_(pa.string()))], names=["name", "form", "id", "words"])
+        out = []
+        for name in batch.column(0).to_pylist():
+            words = tokens(name)
+            spelt = [words, [words[0][3:]]] if len(words) == 1 and len(words[0]) > 9 and words[0].startswith("the") else [words]
+            for w in spelt:
+                form = " ".join(w)
+                out.append((name, form, _signed(xxhash.xxh64_intdigest(form)), w))
+        cols, types = list(zip(*out)) or [()] * 4, (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["name", "form", "id", "words"])
 
 
 def _fulls(word: str) -> set[str]:
@@ -88,7 +95,7 @@ def _fulls(word: str) -> set[str]:
 def _keys(batches):
     """Rows (key, id, typed) of forms (id, words): the sum of the words' hashes, for the words as typed and in other ways.
 
-    Typed count the words as they are, also with two neighbours as one. The other ways:
+    Typed count the words as they are, also with two neighbours, or all, as one. The other ways:
     one word as a short form, a nickname as the given name, two words or all but one as
     initials.
     """
@@ -100,7 +107,7 @@ def _keys(batches):
         for form, words in zip(*(batch.column(i).to_pylist() for i in range(2))):
             h = [hashes[w] for w in words]
             whole = sum(h)
-            joined = {whole + hashes[a + b] - hashes[a] - hashes[b] for a, b in zip(words, words[1:])} | {whole}
+            joined = {whole + hashes[a + b] - hashes[a] - hashes[b] for a, b in zip(words, words[1:])} | {whole, hashes["".join(words)]}
             found: set[int] = set()
             for w, x in zip(words, h):
                 found |= {whole - x + hashes[g] for g in given_names(w)}
@@ -249,8 +256,8 @@ def _walked(batches):
         yield _near_words(pa.Table.from_batches(held).combine_chunks())
 
 
-def word_cost(a: str, b: str) -> int:
-    """Edits between two words; a short form or an initial of the other costs nothing."""
+def word_cost(a: str, b: str, more: int = 0) -> int:
+    """Edits between two words, ``more`` than else allowed in long ones; a short form or an initial of the other costs nothing."""
     if a == b or b in given_names(a) or a in given_names(b):
         return 0
     short, full = sorted((a, b), key=len)
@@ -258,7 +265,7 @@ def word_cost(a: str, b: str) -> int:
         return 0
     if len(short) == 1 and any(g.startswith(short) for g in given_names(full)):
         return 0
-    most = bound_for(len(short))
+    most = bound_for(len(short)) + (more if len(short) >= 8 else 0)
     d = min(distance(a, b, most), distance(sound(a), sound(b), most))
     return d if d <= most else _FREE
 
@@ -291,24 +298,26 @@ def _pairing(costs: list[list[int]]) -> int:
     return sum(costs[match[j] - 1][j - 1] for j in range(1, n + 1))
 
 
-def name_cost(a: list[str], b: list[str]) -> int:
-    """Edits between two names: their words pair off, in the order that costs least."""
+def name_cost(a: list[str], b: list[str], more: int = 0) -> int:
+    """Edits between two names: their words pair off, in the order that costs least; with ``more``, as many beyond the bound."""
     if len(a) > len(b):
         a, b = b, a
+    if len(a) == 1 < len(b) - 1:  # all words were typed as one
+        return word_cost(a[0], "".join(b), more) if len(a[0]) > 9 else _FREE
     if len(b) - len(a) > 1 or not a:
         return _FREE
     if len(b) == len(a) + 1:  # one word was typed as two
         joined = [[*b[:i], b[i] + b[i + 1], *b[i + 2 :]] for i in range(len(b) - 1)]
-        return min(name_cost(a, x) for x in joined)
+        return min(name_cost(a, x, more) for x in joined)
     costs, floor = [], 0
     for x in a:
-        costs.append([word_cost(x, y) for y in b])
+        costs.append([word_cost(x, y, more) for y in b])
         floor += min(costs[-1])
-        if floor > BOUND:
+        if floor > BOUND + more:
             return _FREE
     best = min(sum(costs[i][j] for i, j in enumerate(p)) for p in permutations(range(len(b)))) if len(b) < 4 else _pairing(costs)
     # a name of initials alone, or of words that all differ, says nothing
-    if best <= BOUND and not any(len(x) > 3 and min(row) < _FREE for x, row in zip(a, costs)):
+    if best <= BOUND + more and not any(len(x) > 3 and min(row) < _FREE for x, row in zip(a, costs)):
         return _FREE
     return best
 
@@ -348,7 +357,7 @@ def near_words(forms: DataFrame) -> DataFrame:
     spark = forms.sparkSession
     w = forms.select("words").distinct()
     pairs = F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, F.size("words")), lambda a, b: F.concat(a, b))
-    every = w.select(F.explode("words").alias("word"), F.lit(True).alias("typed")).unionByName(w.where("size(words) > 1").select(F.explode(pairs).alias("word"), F.lit(False).alias("typed")))
+    every = w.select(F.explode("words").alias("word"), F.lit(True).alias("typed")).unionByName(w.where("size(words) > 1").select(F.explode(F.array_append(pairs, F.array_join("words", ""))).alias("word"), F.lit(False).alias("typed")))
     distinct = every.where("length(word) >= 4").groupBy("word").agg(F.max("typed").alias("typed"))
     coded = distinct.mapInArrow(_coded, "word string, code string, typed boolean")
     as_typed = coded.select("word", F.length("word").alias("length"), "typed", F.lit(False).alias("sounds"))

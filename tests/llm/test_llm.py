@@ -57,6 +57,24 @@ def test_long_names_and_word_order(spark):
     assert found_names(spark, [("a", long, None, 1), ("b", long, None, 1)]) == {("a", "b")}
 
 
+def test_typos_in_long_names_are_found(spark):
+    rng = random.Random(9)
+    made = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(4))
+    rows, want = [], set()
+    for i in range(60):
+        words = [made() for _ in range(rng.randint(8, 12))]
+        typed = list(words)
+        for at_word in rng.sample(range(len(words)), rng.choice((1, 2))):
+            w, at = typed[at_word], rng.randint(1, 6)
+            typed[at_word] = rng.choice((w[:at] + w[at + 1 :], w[:at] + "z" + w[at:], w[:at] + w[at + 1] + w[at] + w[at + 2 :], w[:at] + "z" + w[at + 1 :]))
+        if i % 3 == 0:
+            rng.shuffle(typed)
+        rows += [(f"a{i}", " ".join(words), None, 1), (f"b{i}", " ".join(typed), None, 1)]
+        want.add((f"a{i}", f"b{i}"))
+    got = found_names(spark, rows)
+    assert len(got & want) >= 0.95 * len(want) and got <= want
+
+
 def test_names_of_common_words_alone(spark):
     # every word below is in more than 60 names
     firsts = ["Christopher", "Veiwatusim", "Dorimanta", "Kelubrofa"] + ["".join(c) + "ombaruf" for c in zip("bdfgklmnprst", "aeiouaeiouae")]
@@ -175,6 +193,24 @@ def test_linkage(spark):
     assert linkage.linked(cs.limit(0), ps).count() == 0 == linkage.linked(cs, ps.limit(0)).count()
 
 
+def test_linkage_of_names_typed_as_one_or_further_apart(spark):
+    c = [(1, "p1", "The Iron Brazommurol Weather", "N. Brovolulim, Olm", ["dub"], None), (2, "p2", "MC Gitsustenr Blue", "Hawa", ["metal", "disco"], None), (3, "p3", "Hostal Quintet", None, [], '{"site": "many.example"}')]
+    c += [(10 + i, f"q{i}", f"Pale {w}", None, [], '{"site": "many.example"}') for i, w in enumerate("bavuk hemod jifal kopaz mulen nirot pubas rosed suvik tezom vafil wogan zubet cadov dimuk fapol gesir lutan havem kiron".split())]
+    p = [("x", None, "youtube", "UC1", None, "unknown", '{"candidate_name": "theironbrazomurolweather", "city": "New Brovolulim"}'), ("y", None, "deezer", "1", None, "unknown", '{"candidate_name": "MC Gistiustenir Blue", "city": "Hawa", "tags": ["disco"]}'),
+         ("z", None, "deezer", "2", None, "unknown", '{"candidate_name": "Unlike", "site": "many.example"}'), ("n", None, "deezer", "3", None, "unknown", '{"candidate_name": "Hostal Quintet", "site": "many.example"}')]
+    cs = spark.createDataFrame(c, "id bigint, platform_id string, band_name string, location string, tags array<string>, links string")
+    ps = spark.createDataFrame(p, "id string, artist_id string, platform string, platform_id string, vanity_url string, page_type string, binding_evidence string")
+    got = {(r.candidate_id, r.identity_id): r.sureness for r in linkage.linked(cs, ps).collect()}
+    assert {k for k, v in got.items() if v >= linkage.SURE} == {(1, "x"), (2, "y")} and set(got) == {(1, "x"), (2, "y"), (3, "n")}
+
+
+def test_a_page_belongs_to_one_of_the_candidates_that_differ(spark):
+    row = (1, "x", "deezer", 1.0, 1, 0, None), (2, "x", "deezer", 1.0, -1, 0, 0.9), (3, "x", "deezer", 0.75, 0, 0, 0.9)
+    pairs = spark.createDataFrame(row, "a int, b string, platform string, name double, town int, site int, tags double")
+    got = {r["var"]: r["value"] for r in linkage.solve(linkage.ground_rules(pairs)).collect()}
+    assert got["1|x"] > 0.9 and got["2|x"] < 0.1 and got["3|x"] > 0.6
+
+
 def test_alternating_directions_reach_the_optimum(spark):
     # 3 * max(0, 0.9 - x) + x, and x + y <= 1 beside 2 * max(0, 0.8 - y) + 0.5 * y
     rules = [("a", "x", -1.0, 0.9, 3.0), ("b", "x", 1.0, 0.0, 1.0), ("c", "y", -1.0, 0.8, 2.0), ("d", "y", 1.0, 0.0, 0.5), ("e", "x", 1.0, -1.0, 5.0), ("e", "y", 1.0, -1.0, 5.0)]
