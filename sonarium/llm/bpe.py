@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import table
+from ..session import settle, table
 
 #: Fixed value: the public pattern that cuts text into words before merging.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -118,6 +118,14 @@ def encode_texts(texts: DataFrame, text: str, ranks: dict[bytes, int], pattern:
     return texts.withColumn("ids", ids(F.col(text)))
 
 
+def once(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` without repetitions: only those of a key that is there more than once are compared, the others stay where they are."""
+    again = settle(rows.groupBy(key).count().where(F.col("count") > 1).select(key))
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"a.{key}"))
+    single = rows.alias("r").join(again.alias("a"), same, "left_anti")
+    return single.unionByName(rows.alias("r").join(again.alias("a"), same, "left_semi").distinct())
+
+
 def default_vocabulary() -> str:
     """Where the public vocabulary byte_bpe_50k lies on this machine."""
     import public_tokenizers
@@ -127,8 +135,7 @@ def default_vocabulary() -> str:
 
 def p7_ids(spark, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     ranks = load_ranks(vocabulary or default_vocabulary())
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text").distinct()
-    return encode_texts(documents, "text", ranks).select("doc_id", "ids")
+    return encode_texts(once(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "text", ranks).select("doc_id", "ids")
 
 
 QUERIES = {"p7_ids": p7_ids}

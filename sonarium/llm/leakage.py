@@ -4,8 +4,8 @@ Texts are compared as words without case, accents, punctuation, markup and invis
 characters. Every k-gram of the evaluation texts is a fingerprint; of a training text
 the least hash of each window is kept. A shared span of ``window + k - 1`` words
 therefore always shares a fingerprint. Shared fingerprints join the two sides, and
-each hit is extended: to the longest run of equal words, and to the share of the
-passage that stands, in order, in the words around the hit.
+each hit is extended in the words of its text: to the longest run of equal words, and
+to the share of the passage that stands, in order, in the words around the hit.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from ..session import settle, table
 
-GRAM, SPAN = 5, 12
-WINDOW = SPAN - GRAM + 1
+GRAM, WINDOW = 4, 4
+#: Consecutive words in common that make a case; a fingerprint is sure from ``GRAM + WINDOW - 1`` on.
+SPAN = 12
 #: Share of a passage's words, in order, that makes "nearly all" of it.
 NEARLY_ALL = 0.8
 #: Evaluation k-grams up to which they are sent to every task; a larger set is joined by shuffling.
@@ -112,7 +113,7 @@ def _item_grams(batches):
 
 
 def _fingerprints(known):
-    """Rows (doc_id, words, hits) of the texts with a fingerprint among the known ones, or of all if none are given."""
+    """Rows (doc_id, h, pos) of the fingerprints of texts, of those among the known ones if they are given."""
 
     def run(batches):
         hashed = _Hashed()
@@ -120,56 +121,79 @@ def _fingerprints(known):
         if grams is not None and not len(grams):
             return
         for batch in batches:
-            out: list[tuple] = []
+            docs, at_all, h_all = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = np.array([hashed[w] for w in plain_words(text)], np.int64)
-                hashes = gram_hashes(words)
+                hashes = gram_hashes(np.array([hashed[w] for w in plain_words(text)], np.int64))
                 at = winnowed(hashes)
                 if grams is not None and len(at):
                     place = np.minimum(np.searchsorted(grams, hashes[at]), len(grams) - 1)
                     at = at[grams[place] == hashes[at]]
                 if len(at):
-                    out.append((doc, words.tobytes(), [{"h": int(h), "pos": int(p)} for h, p in zip(hashes[at], at)]))
-            cols = list(zip(*out)) or [(), (), ()]
-            hit = pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), hit))], names=["doc_id", "words", "hits"])
+                    docs.append(np.full(len(at), doc, np.int64))
+                    at_all.append(at)
+                    h_all.append(hashes[at])
+            join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(join(docs)), pa.array(join(h_all)), pa.array(join(at_all).astype(np.int32))], names=["doc_id", "h", "pos"])
 
     return run
 
 
-def extended(item: np.ndarray, text: np.ndarray, diagonals: list[int]) -> tuple[bool, float]:
-    """Whether SPAN consecutive words are shared, and the most of the item that stands in order around a hit."""
-    run = len(item) >= SPAN and bool(np.isin(gram_hashes(text, SPAN), gram_hashes(item, SPAN)).any())
+def _numbered(batches):
+    """Rows (doc_id, words) of texts, the words as numbers."""
+    hashed = _Hashed()
+    for batch in batches:
+        words = [np.array([hashed[w] for w in plain_words(text)], np.int64).tobytes() for text in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["doc_id", "words"])
+
+
+def share_in_order(item: np.ndarray, text: np.ndarray, diagonals: list[int], least: float) -> float:
+    """The most of the item's words that stand in the text in order, around a hit; 0 where it can't be ``least``."""
     share, slack, done = 0.0, 8 + len(item) // 6, None
-    words, whole = item.tolist(), text.tolist()
+    words = item.tolist()
     for d in sorted(set(diagonals)):
         if done is not None and d - done < slack // 2:
             continue
         done = d
-        near = whole[max(0, d - slack) : max(0, d + len(item) + slack)]
-        share = max(share, longest_common_order(words, near) / len(item))
-    return run, share
+        near = text[max(0, d - slack) : max(0, d + len(item) + slack)]
+        if np.isin(item, near).sum() >= least * len(item):  # else not in order either
+            share = max(share, longest_common_order(words, near.tolist()) / len(item))
+    return share
 
 
 def _extend(batches):
+    items: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+    last, text, spans = None, np.empty(0, np.int64), np.empty(0, np.int64)
     for batch in batches:
         cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
         out = []
         for doc, item, field, words, item_words, diagonals in zip(*(cols[n] for n in ("doc_id", "item_id", "field", "words", "item_words", "diagonals"))):
-            run, share = extended(np.frombuffer(item_words, np.int64), np.frombuffer(words, np.int64), diagonals)
-            out.append((doc, item, field, run, share))
+            if words != last:
+                last, text = words, np.frombuffer(words, np.int64)
+                spans = gram_hashes(text, SPAN)
+            if item_words not in items:
+                if len(items) > 10_000:
+                    items.clear()
+                of_item = np.frombuffer(item_words, np.int64)
+                items[item_words] = of_item, gram_hashes(of_item, SPAN)
+            of_item, item_spans = items[item_words]
+            run = bool(np.isin(item_spans, spans).any())
+            share = share_in_order(of_item, text, diagonals, NEARLY_ALL)
+            if run or share >= NEARLY_ALL:
+                out.append((doc, item, field, run, share))
         rows = list(zip(*out)) or [(), (), (), (), ()]
         types = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.float64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=["doc_id", "item_id", "field", "run", "share"])
 
 
 def shared_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, field, run, share) of every text and evaluation text that share a fingerprint.
+    """(doc_id, item_id, field, run, share) of every text and evaluation text that have SPAN words in a row or NEARLY_ALL in common.
 
     ``documents`` has doc_id and text, ``items`` item_id, passage and question; other
     columns are ignored. ``run``: they share SPAN consecutive words. ``share``: the
-    part of the item's words that stand in the text in order, around a hit. Null,
-    empty and blank texts on either side share nothing; repeated rows count once.
+    part of the item's words that stand in the text in order, around a hit, 0 where it
+    can't be NEARLY_ALL. Null, empty and blank texts on either side share nothing;
+    repeated rows count once. Spans of SPAN words are found for sure; of passages whose
+    words are altered, those of which two fingerprints are left.
     """
     spark = documents.sparkSession
     sides = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("passage", "question"))))
@@ -178,18 +202,17 @@ def shared_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
     grams = held.select("item_id", "field", F.posexplode("grams").alias("ipos", "h")).distinct()
     small = held.agg(F.sum(F.size("grams"))).first()[0] or 0
     known = None
-    if small <= BROADCAST_GRAMS:
+    if small <= BROADCAST_GRAMS:  # the fingerprints and items themselves are small, then
         numbers = grams.select("h").distinct().toArrow().column("h").to_numpy()
         known = spark.sparkContext.broadcast(np.sort(numbers))
-        grams = F.broadcast(grams)
-        held = F.broadcast(held)
+        grams, held = F.broadcast(grams), F.broadcast(held)
     rows = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    hit = settle(rows.mapInArrow(_fingerprints(known), "doc_id bigint, words binary, hits array<struct<h:bigint,pos:int>>"))
-    pairs = (
-        hit.select("doc_id", F.explode("hits").alias("x")).select("doc_id", "x.h", "x.pos").join(grams, "h")
-        .groupBy("doc_id", "item_id", "field").agg(F.collect_set(F.col("pos") - F.col("ipos")).alias("diagonals"))
-    )
-    words = hit.select("doc_id", "words").dropDuplicates(["doc_id"])
+    prints = rows.mapInArrow(_fingerprints(known), "doc_id bigint, h bigint, pos int")
+    # SPAN words in a row have more grams than a window twice, so at least two fingerprints; one alone is chance
+    met = prints.join(grams, "h").groupBy("doc_id", "item_id", "field").agg(F.collect_set(F.col("pos") - F.col("ipos")).alias("diagonals"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    pairs = settle(met.where("low < high").drop("low", "high"))
+    hit = rows.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    words = hit.mapInArrow(_numbered, "doc_id bigint, words binary")  # of texts with a hit alone
     whole = pairs.join(words, "doc_id").join(held.select("item_id", "field", "item_words"), ["item_id", "field"])
     return whole.mapInArrow(_extend, "doc_id bigint, item_id bigint, field string, run boolean, share double")
 

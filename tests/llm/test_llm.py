@@ -264,7 +264,14 @@ def test_ids_equal_the_public_encoder(spark):
 
 
 # 8
-def test_leakage(spark):
+def test_repeated_texts_are_encoded_once(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (3, None), (3, None)], "doc_id bigint, text string")
+    assert sorted(map(str, bpe.once(df, "doc_id").collect())) == sorted(map(str, df.distinct().collect()))
+
+
+@pytest.mark.parametrize("grams", [1_000_000, 0])
+def test_leakage(spark, monkeypatch, grams):
+    monkeypatch.setattr(leakage, "BROADCAST_GRAMS", grams)
     words = [f"w{i}" for i in range(60)]
     passage, question = " ".join(words), " ".join(f"q{i}" for i in range(20))
     edited = " ".join(w if i % 9 else "zz" for i, w in enumerate(words))
@@ -277,6 +284,15 @@ def test_leakage(spark):
     assert leakage.shared_passages(d.limit(0), items).count() == 0 == leakage.shared_passages(d, items.limit(0)).count()
 
 
+def test_passages_with_altered_words_are_found(spark):
+    rng = random.Random(4)
+    items = [(i, " ".join(f"{rng.choice('bdfgk')}{rng.randint(0, 99999)}" for _ in range(60)), None) for i in range(60)]
+    altered = [(100 + i, "so it was " + " ".join(f"x{rng.random()}" if j % 5 == 2 else w for j, w in enumerate(p.split())) + " and so on") for i, p, _ in items]
+    d, e = spark.createDataFrame(altered, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, passage string, question string")
+    found = {(r.doc_id, r.item_id) for r in leakage.shared_passages(d, e).where(F.col("share") >= leakage.NEARLY_ALL).collect()}
+    assert found <= {(100 + i, i) for i in range(60)} and len(found) >= 57  # every fifth word altered leaves runs of four
+
+
 def test_every_shared_span_has_a_fingerprint():
     rng = np.random.default_rng(0)
     for _ in range(60):
