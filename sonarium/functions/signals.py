@@ -41,28 +41,25 @@ def soundness(signal: Column, rate: int, silent_from: float = SILENT_SHARE, clip
 def loud_windows(signal: Column, rate: int, k: int = 4, seconds: int = 30) -> Column:
     """The ``k`` loudest windows that don't overlap, as (start, end) in seconds, in time order.
 
-    A signal of at most one window is one window itself; null gives null.
+    Windows begin every ``HOP_SECONDS``; of equally loud ones the earlier counts. A signal
+    of at most one window is one window itself; null gives null.
     """
 
-    def pick(x) -> list[tuple[int, int]] | None:
-        if x is None:
-            return None
-        length = len(x) // rate
-        if length <= seconds:
-            return [(0, max(length, 1))]
-        power = np.r_[0.0, np.square(np.asarray(x, dtype=np.float64)).cumsum()]
-        at = np.arange(0, len(x) - seconds * rate + 1, HOP_SECONDS * rate)
-        energy = power[at + seconds * rate] - power[at]
-        free, taken = np.ones(len(at), dtype=bool), []
-        while free.any() and len(taken) < k:
-            best = int(np.flatnonzero(free)[np.argmax(energy[free])])
-            taken.append(int(at[best]) // rate)
-            free &= np.abs(at - at[best]) >= seconds * rate
-        return [(s, s + seconds) for s in sorted(taken)]
+    def pick(x) -> list[dict]:
+        per_second = np.add.reduceat(np.square(np.asarray(x, np.float64)), np.arange(0, max(len(x), 1), rate)) if len(x) else np.zeros(1)
+        whole = len(x) // rate
+        if whole <= seconds:
+            return [{"start": 0, "end": max(whole, 1)}]
+        loud = np.convolve(per_second[:whole], np.ones(seconds), "valid")[::HOP_SECONDS]
+        taken: list[int] = []
+        for i in np.argsort(-loud.round(9), kind="stable"):
+            if len(taken) < k and all(abs(int(i) * HOP_SECONDS - t) >= seconds for t in taken):
+                taken.append(int(i) * HOP_SECONDS)
+        return [{"start": t, "end": t + seconds} for t in sorted(taken)]
 
     @F.pandas_udf("array<struct<start:int,end:int>>")
     def windows(signals: pd.Series) -> pd.Series:
-        return signals.map(lambda x: None if (w := pick(x)) is None else [{"start": s, "end": e} for s, e in w])
+        return signals.map(pick, na_action="ignore")
 
     return windows(signal)
 

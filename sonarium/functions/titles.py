@@ -1,52 +1,41 @@
-"""Titles of works: their plain form, series, scripts and sets of them compared."""
+"""Titles of works: their plain form, the numbers of series, and the titles of owners side by side."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import ascii_fold
 
-# Titles that say nothing of a work.
+# Titles that say nothing of a work, endings that number a title, and how guests are named.
 STOP_TITLES = ["intro", "outro", "untitled", "interlude", "skit", "bonus", "bonus track", "demo", "live"]
-# Endings that number a title.
 NUMBERED = r"(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{1,3})\s*$"
+GUESTS = r"(?i)\((feat|ft|with|prod)[^)]*\)|\b(feat|ft)\.?\s.+$"
+#: Letters and digits of any script, marks and ASCII; everything else parts words.
+_PARTING = r"[^\x00-\x7F\p{L}\p{N}\p{M}]"
 
 
 def plain_title(title: Column) -> Column:
-    """A title in lower case and ASCII without guests; other signs, dashes too, as one blank. Null stays null."""
-    spaced = F.regexp_replace(title, r"[^\x00-\x7F\p{L}\p{N}\p{M}]", " ")
-    bare = F.regexp_replace(ascii_fold(spaced), r"(?i)\((feat|ft|with|prod)[^)]*\)", "")
-    bare = F.regexp_replace(bare, r"(?i)\b(feat|ft)\.?\s.+$", "")
-    return F.trim(F.regexp_replace(F.lower(bare), "[^a-z0-9]+", " "))
+    """The words of a title in lower case and ASCII, without guests, one blank between them. Null stays null."""
+    letters = ascii_fold(F.regexp_replace(title, _PARTING, " "))
+    words = F.split(F.lower(F.regexp_replace(letters, GUESTS, "")), "[^a-z0-9]+")
+    return F.array_join(F.filter(words, lambda w: w != ""), " ")
 
 
 def is_numbered(title: Column) -> Column:
     return title.rlike(NUMBERED)
 
 
-def meaningful(titles: Column) -> Column:
-    """The titles of an array that tell works apart, each once: four characters or more and no stop title."""
-    return F.filter(F.array_distinct(titles), lambda t: (F.length(t) >= 4) & ~t.isin(STOP_TITLES))
+def title_sets(rows: DataFrame, owner: str, title: str, least: int = 4) -> DataFrame:
+    """(owner, plain): the titles that tell an owner's works apart, each once: ``least`` characters or more and no stop
+    title. Null owners and titles are left out."""
+    plain = rows.where(F.col(owner).isNotNull()).select(owner, plain_title(F.col(title)).alias("plain"))
+    return plain.where((F.length("plain") >= least) & ~F.col("plain").isin(STOP_TITLES)).distinct()
 
 
-def latin_share(titles: Column) -> Column:
-    """The part of raw titles with at least 70 of 100 characters in ASCII; 1 for an empty array."""
-    latin = lambda t: F.length(F.regexp_replace(t, r"[^\x00-\x7F]", "")) >= 0.7 * F.greatest(F.length(t), F.lit(1))
-    return F.when(F.size(titles) == 0, 1.0).otherwise(F.size(F.filter(titles, latin)) / F.nullif(F.size(titles), F.lit(0)))
-
-
-def contained(a: Column, b: Column, least: int = 6) -> Column:
-    """How many titles of ``a`` of ``least`` characters or more lie in one of ``b`` or hold one."""
-    return F.size(F.filter(a, lambda x: (F.length(x) >= least) & F.exists(b, lambda y: F.contains(x, y) | F.contains(y, x))))
-
-
-def overlap(a: Column, b: Column) -> Column:
-    """What two arrays of plain titles say of their owners: ``same``, ``other`` or ``open``.
-
-    The same from three titles in both, or two that are 60 of 100 of the smaller side;
-    another if none is in both, none in part, and either side has five.
-    """
-    x, y = meaningful(a), meaningful(b)
-    n, least = F.size(F.array_intersect(x, y)), F.least(F.size(x), F.size(y))
-    return F.when((n >= 3) | ((n >= 2) & (n >= 0.6 * least)), "same").when((n == 0) & (contained(x, y) == 0) & (least >= 5), "other").otherwise("open")
+def common_titles(a: DataFrame, b: DataFrame, left: str, right: str) -> DataFrame:
+    """(left, right, common, smaller): owners of two frames of ``title_sets`` with titles in common, how many these are,
+    and how many the one with fewer has. The names of the owners' columns must differ."""
+    sizes = {name: side.groupBy(name).agg(F.count("*").alias(f"n_{name}")) for side, name in ((a, left), (b, right))}
+    pairs = a.join(b, "plain").groupBy(left, right).agg(F.count("*").alias("common"))
+    return pairs.join(sizes[left], left).join(sizes[right], right).select(left, right, "common", F.least(f"n_{left}", f"n_{right}").alias("smaller"))

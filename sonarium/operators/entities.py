@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ascii_fold
 from ..functions.titles import is_numbered, plain_title
-from ..session import table
+from ..session import settle, table
 from .ranks import placed
 
 
@@ -33,7 +33,8 @@ def normal_name(name: Column) -> Column:
 
 
 def artists(spark, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "artist").where("id is not null").distinct()
+    """The artists, each once; a query's other columns aren't read."""
+    return table(spark, sf_dir, "artist").where("id is not null").dropDuplicates(["id"])
 
 
 def candidates(spark, sf_dir: str) -> DataFrame:
@@ -42,14 +43,43 @@ def candidates(spark, sf_dir: str) -> DataFrame:
 
 
 def pages(spark, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "platform_identity").where("id is not null").distinct()
+    """The pages, each once; a query's other columns aren't read."""
+    return table(spark, sf_dir, "platform_identity").where("id is not null").dropDuplicates(["id"])
+
+
+#: A slug's family and its number there.
+NUMBERED_SLUG = r"^(.*)-([1-9][0-9]{0,8})$"
+
+
+def assign_slugs(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """(id, slug) of rows (id, base, created_at), all different and other than the stored ones.
+
+    ``stored``, (id, slug), stays as it is. Of the rest, the first of a base by creation
+    has the base itself, unless that is stored; the others in turn have the least numbers
+    from 2 on with which no stored slug and no other base is formed. Bases and ids are
+    not null. Families may be of any size.
+    """
+    spark = rows.sparkSession
+    held = stored.select("id", "slug") if stored is not None else spark.createDataFrame([], "id string, slug string")
+    new = rows.select("id", "base", "created_at").join(held.select("id"), "id", "left_anti")
+    spoken = held.select("slug").unionByName(new.select(F.col("base").alias("slug"))).distinct()
+    kept = held.select(F.col("slug").alias("base"), F.lit(1).alias("stored")).distinct()
+    place = placed(new, ["base"], ["created_at", "id"], "n").join(kept, "base", "left").withColumn("m", F.col("n") - 1 + F.coalesce("stored", F.lit(0)))
+    bare = place.where("m = 0").select("id", F.col("base").alias("slug"))
+    rest = settle(place.where("m > 0").select("id", "base", "m"))
+    # numbers that are taken in the families that need any, and how many free ones lie below each
+    family, number = F.regexp_extract("slug", NUMBERED_SLUG, 1), F.regexp_extract("slug", NUMBERED_SLUG, 2).try_cast("long")
+    taken = spoken.select(family.alias("base"), number.alias("k")).where("k >= 2").join(rest.select("base").distinct(), "base", "left_semi")
+    below = placed(taken, ["base"], ["k"], "j").select("base", (F.col("k") - 1 - F.col("j")).alias("m"), F.lit(None).cast(rest.schema["id"].dataType).alias("id"), F.lit(0).alias("turn"), "k")
+    both = below.unionByName(rest.select("base", "m", "id", F.lit(1).alias("turn"), F.lit(0).cast("long").alias("k")))
+    both = both.withColumn("m", F.when(F.col("turn") == 0, F.col("m") + 1).otherwise(F.col("m")))
+    numbered = placed(both, ["base"], ["m", "turn", "k"], "place").where("turn = 1")  # its own turn and the taken numbers before
+    return held.unionByName(bare).unionByName(numbered.select("id", F.concat("base", F.lit("-"), (F.col("place") + 1).cast("string")).alias("slug")))
 
 
 def slug_assign(spark, sf_dir: str) -> DataFrame:
-    """Unique slugs: the first of a family by creation has the bare slug, the others -2, -3 and so on."""
-    base = artists(spark, sf_dir).select("id", "created_at", slug_base(F.coalesce("display_name", F.lit(""))).alias("base"))
-    n = placed(base, ["base"], ["created_at", "id"], "n")  # nameless artists may be many
-    return n.select("id", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), "n")).alias("slug"))
+    """A slug for each artist: the first of a name by creation has the bare one, the others the first free numbers."""
+    return assign_slugs(artists(spark, sf_dir).select("id", "created_at", slug_base(F.coalesce("display_name", F.lit(""))).alias("base")))
 
 
 def unique_name_match(spark, sf_dir: str) -> DataFrame:
@@ -70,7 +100,7 @@ def name_keys_dedup(spark, sf_dir: str) -> DataFrame:
 
 def typo1_pairs(spark, sf_dir: str) -> DataFrame:
     """Tags one edit apart. Both lead to a common key: the tag itself, or what is left of it without one character."""
-    tags = table(spark, sf_dir, "artist_tag_scores").select(F.lower(F.trim("tag")).alias("tag")).where("length(tag) >= 4").distinct()
+    tags = table(spark, sf_dir, "artist_tag_scores").select(F.lower(F.trim("tag")).alias("tag")).where("tag <> ''").distinct()
     cut = F.transform(F.sequence(F.lit(0), F.length("tag")), lambda i: F.xxhash64(F.concat(F.substring("tag", F.lit(1), i), F.substr(F.col("tag"), i + 2))))
     keys = tags.select("tag", F.explode(F.array_distinct(cut)).alias("key"))
     a, b = keys.select(F.col("tag").alias("tag_a"), "key"), keys.select(F.col("tag").alias("tag_b"), "key")
@@ -184,7 +214,7 @@ def seeded_sample(spark, sf_dir: str) -> DataFrame:
 
 
 def text_forensics(spark, sf_dir: str) -> DataFrame:
-    """Artists with three texts or more: how alike in length they are, how many are copies or end in a number, and a score of it, at most 1."""
+    """Artists with three texts or more: how alike in length they are, and how many are copies or end in a number."""
     docs = table(spark, sf_dir, "documents").where("artist_id is not null and text is not null").dropDuplicates(["doc_id"])
     digest = docs.select("artist_id", F.sha2("text", 256).alias("digest"), F.length("text").alias("len"), F.when(is_numbered(F.col("text")), 1.0).otherwise(0.0).alias("numbered"))
     per = digest.groupBy("artist_id", "digest").agg(F.count("*").alias("n"), F.max("len").alias("len"), F.max("numbered").alias("numbered"))
@@ -194,9 +224,7 @@ def text_forensics(spark, sf_dir: str) -> DataFrame:
     rows = per.groupBy("artist_id").agg(
         F.sum("n").alias("texts"), F.round(sd / F.greatest(mean, F.lit(1.0)), 4).alias("cv"), F.round(total(F.col("numbered")) / F.sum("n"), 4).alias("numbered"), F.round(1 - F.count("*") / F.sum("n"), 4).alias("copies")
     )
-    add = lambda test, x: F.when(test, x).otherwise(0.0)
-    points = F.when(F.col("cv") < 0.05, 0.4).when(F.col("cv") < 0.12, 0.2).otherwise(0.0) + add(F.col("numbered") >= 0.5, 0.25) + add(F.col("copies") >= 0.2, 0.2) + add(F.col("texts") >= 30, 0.15)
-    return rows.where(F.col("texts") >= LEAST_TEXTS).withColumn("score", F.round(F.least(F.lit(1.0), points), 2))
+    return rows.where(F.col("texts") >= LEAST_TEXTS)
 
 
 def plain_name_series(spark, sf_dir: str) -> DataFrame:
@@ -218,11 +246,14 @@ QUERIES = {
 _ASCII = "lower(regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]', '', 'g'))"
 SQL = {
     "slug_assign": f"""with {_A}, b as (select id, created_at, coalesce(nullif(trim(regexp_replace({_ASCII.format("coalesce(display_name, '')")}, '[^a-z0-9]+', '-', 'g'), '-'), ''), 'artist') as base from a),
-      n as (select *, row_number() over (partition by base order by created_at nulls first, id) as n from b) select id, case when n = 1 then base else base || '-' || n end as slug from n""",
+      n as (select *, row_number() over (partition by base order by created_at nulls first, id) - 1 as m from b),
+      f as (select base, k, row_number() over (partition by base order by k) as m from (select base, unnest(range(2, 2 * count(*) + 2 + (select count(*) from b x where x.base like g.base || '-%'))) as k from b g group by base having count(*) > 1)
+        where base || '-' || k not in (select base from b))
+      select id, case when m = 0 then base else base || '-' || k end as slug from n left join f using (base, m)""",
     "name_keys_dedup": f"""with {_A}, {_C}, k as (select regexp_replace({_ASCII.format('display_name')}, '[^a-z0-9]+', '', 'g') as key, 1 as own from a union all select regexp_replace({_ASCII.format('band_name')}, '[^a-z0-9]+', '', 'g'), 0 from c)
       select key, count(*) as n, sum(own)::bigint as artists from k where key <> '' group by 1 having count(*) > 1""",
     "unique_name_match": f"with {_A}, {_C}, k as (select {_KEY.format('display_name')} as key, min(id) as artist_id from a group by 1 having count(*) = 1) select c.id, k.key, k.artist_id from c join k on k.key = {_KEY.format('c.band_name')} where k.key <> ''",
-    "typo1_pairs": "with t as (select distinct lower(trim(tag, ' ')) as tag from artist_tag_scores where len(lower(trim(tag, ' '))) >= 4) select x.tag as tag_a, y.tag as tag_b from t x join t y on x.tag < y.tag and abs(len(x.tag) - len(y.tag)) <= 1 where levenshtein(x.tag, y.tag) = 1",
+    "typo1_pairs": "with t as (select distinct lower(trim(tag, ' ')) as tag from artist_tag_scores where trim(tag, ' ') <> '') select x.tag as tag_a, y.tag as tag_b from t x join t y on x.tag < y.tag and abs(len(x.tag) - len(y.tag)) <= 1 where levenshtein(x.tag, y.tag) = 1",
     "vanity_extract": f"with {_P}, {_OWNERS} select id, host, owner from o where host is not null and owner is not null",
     "shared_url_losers": f"""with {_P}, {_OWNERS}, k as (select id, platform, first_seen_at, {_KEY.format('owner')} as owner from o where host is not null and owner is not null),
       r as (select *, row_number() over w as rn, first(id) over w as winner from k window w as (partition by platform, owner order by first_seen_at nulls first, id)) select platform, owner, id as loser, winner from r where rn > 1""",
@@ -247,7 +278,7 @@ SQL = {
     "seeded_sample": "select doc_id, md5('7:' || doc_id::varchar) as h from (select distinct doc_id from documents) order by h, doc_id limit 100",
     "text_forensics": r"""with d as (select distinct on (doc_id) artist_id, text, len(text) as n, (regexp_matches(text, '(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{1,3})\s*$'))::int as num from documents where artist_id is not null and text is not null),
       r as (select artist_id, count(*) as texts, round(stddev_pop(n) / greatest(avg(n), 1), 4) as cv, round(avg(num), 4) as numbered, round(1 - count(distinct sha256(text)) / count(*), 4) as copies from d group by 1)
-      select *, round(least(1.0, (case when cv < 0.05 then 0.4 when cv < 0.12 then 0.2 else 0 end) + (case when numbered >= 0.5 then 0.25 else 0 end) + (case when copies >= 0.2 then 0.2 else 0 end) + (case when texts >= 30 then 0.15 else 0 end))::double, 2) as score from r where texts >= 3""",
+      select * from r where texts >= 3""",
     "plain_name_series": rf"""with {_A}, {_C}, n as (select display_name as name from a union all select band_name from c),
       f as (select name, strip_accents(regexp_replace(name, '[^\x00-\x7F\p{{L}}\p{{N}}\p{{M}}]', ' ', 'g')) as s from n), g as (select name, regexp_replace(regexp_replace(regexp_replace(s, '[^\x00-\x7F]', '', 'g'), '(?i)\((feat|ft|with|prod)[^)]*\)', '', 'g'), '(?i)\b(feat|ft)\.?\s.+$', '') as t from f),
       h as (select trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) as plain, regexp_matches(name, '(?i)(\b(vol|volume|part|pt|episode|ep|no|#)\.?\s*\d+|\s\d{{1,3}})\s*$') as numbered from g)

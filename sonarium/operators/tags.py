@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.tag_words import ERA, INSTRUMENTS, LABEL, META, MOODS, NUMERIC, PLACES, STATES
 from ..session import table
 
+# How many tags a ranking keeps, and how near to the best.
 TAG_K, REL_GATE = 10, 0.5
 AUDIO_TAG_K, AUDIO_REL_GATE = 4, 0.85
 CENTERING_C = 0.585
 MAGNET_SHARE, MAGNET_HUMAN_MAX = 0.08, 100
 
-# Rules of the heuristic categories, in the order in which they are tried.
-MOODS = ["dark", "slow", "warm", "cold", "dream", "free", "restless", "gloomy", "calm"]
-META = ["demo", "live", "spoken word", "field recordings", "d.i.y.", "bedroom", "free download", "vocal"]
-INSTRUMENTS = ["guitar", "piano", "synth", "drums", "bass", "cello", "organ"]
-DECADE = r"^((19|20)?[0-9]0['’]?s)( .+)?$"
-LABEL = r"((^| )(records|recordings|tapes|tape|label|productions|editions)$)|^label:"
-NUMERIC = r"^[0-9 .,'-]+$"
-#: Spellings and the tag they stand for.
-ALIASES = {"hip-hop": "hip hop", "électronique": "electronic", "electro": "electronic", "lo fi": "lo-fi", "d.i.y.": "diy"}
-
 
 def held_scores(spark, sf_dir: str) -> DataFrame:
     """(artist_id, tag, model, score double): the latest row of each, without null and NaN scores."""
@@ -47,7 +40,7 @@ def global_moments(scores: DataFrame) -> DataFrame:
 
 def calibrated(scores: DataFrame) -> DataFrame:
     """The scores with z by the tag's moments, or the model's where a tag has none, and idf and rate of the tag."""
-    joined = scores.join(moments(scores), ["tag", "model"], "left").join(global_moments(scores), "model")
+    joined = scores.join(moments(scores), ["tag", "model"], "left").join(F.broadcast(global_moments(scores)), "model")  # a row a model
     z = (F.col("score") - F.coalesce("mean", "gmean")) / F.coalesce("sd", "gsd")
     n = F.col("artists").cast("double")
     return joined.select(
@@ -76,7 +69,7 @@ def tag_rank_zidf(spark, sf_dir: str) -> DataFrame:
 def centring(scores: DataFrame) -> DataFrame:
     """(tag, model, d): how far a tag's mean lies above the model's, in the model's deviations, between 0 and 1."""
     d = (F.col("mean") - F.col("gmean")) / F.col("gsd")
-    return moments(scores).join(global_moments(scores), "model").select("tag", "model", F.least(F.lit(1.0), F.greatest(F.lit(0.0), d)).alias("d"))
+    return moments(scores).join(F.broadcast(global_moments(scores)), "model").select("tag", "model", F.least(F.lit(1.0), F.greatest(F.lit(0.0), d)).alias("d"))
 
 
 def tag_rank_centred(spark, sf_dir: str) -> DataFrame:
@@ -108,7 +101,7 @@ def tag_shares(spark, sf_dir: str) -> DataFrame:
     """(model, tag, share): the share of a model's artists that have the tag."""
     scores = held_scores(spark, sf_dir)
     n = scores.groupBy("model").agg(F.count_distinct("artist_id").alias("artists"))
-    return scores.groupBy("model", "tag").agg(F.count_distinct("artist_id").alias("n")).join(n, "model").select("model", "tag", (F.col("n") / F.col("artists")).alias("share"))
+    return scores.groupBy("model", "tag").agg(F.count_distinct("artist_id").alias("n")).join(F.broadcast(n), "model").select("model", "tag", (F.col("n") / F.col("artists")).alias("share"))
 
 
 def magnets(spark, sf_dir: str) -> DataFrame:
@@ -150,15 +143,25 @@ def tag_frequency(spark, sf_dir: str) -> DataFrame:
     return _element_tags(spark, sf_dir).groupBy("tag").agg(F.count("*").alias("n"))
 
 
-def canonical(tag: Column) -> Column:
-    """A tag by its alias, if it has one; a leading # is dropped."""
-    bare = F.regexp_replace(tag, "^#", "")
-    return F.coalesce(F.create_map(*(F.lit(x) for kv in ALIASES.items() for x in kv))[bare], bare)
+def fold_aliases(tags: DataFrame, aliases: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, tag, weight) of rows (keys, tag, weight): each tag by the names its aliases give, else as it is; weights of
+    one name are added. ``aliases``, (alias, name), may give a tag several names; each then has the whole weight."""
+    named = tags.join(aliases.select(F.col("alias").alias("tag"), "name").distinct(), "tag", "left")
+    return named.groupBy(*keys, F.coalesce("name", "tag").alias("tag")).agg(F.sum("weight").alias("weight"))
+
+
+def spelling_aliases(tags: DataFrame) -> DataFrame:
+    """(alias, name) of tags with the same letters and digits: the most frequent spelling, of equals the least, is the name."""
+    key = F.regexp_replace("tag", r"[^\p{L}\p{N}]", "")
+    counts = tags.groupBy("tag").agg(F.count("*").alias("n")).withColumn("key", key).where("key <> ''")
+    best = counts.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("m"), "tag"))["tag"].alias("name"))
+    return counts.join(best, "key").where("tag <> name").select(F.col("tag").alias("alias"), "name")
 
 
 def alias_fold(spark, sf_dir: str) -> DataFrame:
-    """Tags of each candidate folded onto canonical ones, weights added."""
-    return _element_tags(spark, sf_dir).groupBy("id", canonical(F.col("tag")).alias("tag")).agg(F.count("*").alias("weight"))
+    """Tags of each candidate folded onto their most frequent spelling, weights added."""
+    rows = _element_tags(spark, sf_dir)
+    return fold_aliases(rows.withColumn("weight", F.lit(1)), spelling_aliases(rows), ["id"])
 
 
 def human_tier_union(spark, sf_dir: str) -> DataFrame:
@@ -211,8 +214,13 @@ def allowlist_gate(spark, sf_dir: str) -> DataFrame:
 
 
 def category(tag: Column) -> Column:
-    """The first rule that a tag meets; null for what may be a genre."""
-    rules = [("instrument", tag.isin(INSTRUMENTS)), ("meta", tag.isin(META)), ("mood", tag.isin(MOODS)), ("era", tag.rlike(DECADE)), ("label", tag.rlike(LABEL)), ("numeric", tag.rlike(NUMERIC))]
+    """The first rule that a tag in lower case meets; null for what may be a genre."""
+    words = F.split(F.trim(F.replace(tag, F.lit(","), F.lit(" "))), r"\s+")
+    in_state = (F.size(words) > 1) & F.element_at(words, -1).isin(STATES)
+    rules = [
+        ("location", tag.isin(PLACES)), ("instrument", tag.isin(INSTRUMENTS)), ("meta", tag.isin(META)), ("mood", tag.isin(MOODS)),
+        ("era", tag.rlike(ERA)), ("label", tag.rlike(LABEL)), ("meta", tag.rlike(NUMERIC)), ("location", in_state),
+    ]
     return reduce(lambda c, r: c.when(r[1], r[0]), rules[1:], F.when(rules[0][1], rules[0][0]))
 
 
@@ -310,7 +318,9 @@ def _in(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
-_CANON = "case regexp_replace(tag, '^#', '') " + " ".join(f"when '{a}' then '{b}'" for a, b in ALIASES.items()) + " else regexp_replace(tag, '^#', '') end"
+_KIND = f"""case when tag in {_in(PLACES)} then 'location' when tag in {_in(INSTRUMENTS)} then 'instrument' when tag in {_in(META)} then 'meta' when tag in {_in(MOODS)} then 'mood'
+  when regexp_matches(tag, '{ERA.replace("'", "''")}') then 'era' when regexp_matches(tag, '{LABEL}') then 'label' when regexp_matches(tag, '{NUMERIC.replace("'", "''")}') then 'meta'
+  when regexp_matches(tag, '[^ ,].*[ ,]({"|".join(STATES)})[ ,]*$') then 'location' end"""
 QUERIES = {
     f.__name__: f
     for f in (tag_rank_zidf, tag_rank_centred, tag_calibration_moments, tag_fallback_rank, magnet_blocklist, tag_histogram, tag_concentration, magnet_load, tag_frequency, alias_fold, human_tier_union, genre_token_recovery, allowlist_gate, tag_classify_heuristic, calibrated_tags_topk, human_tag_tier, human_then_scored, undecided_tags, label_overlap, auc_rank_sum, threshold_grid)
@@ -334,7 +344,9 @@ SQL = {
     "magnet_load": f"""with {_HELD}, {_CAND}, {_SHARES}, p as (select model, artist_id, count(*) as n from held join magnets using (model, tag) group by all)
       select model, round(avg(n), 6) as mean_magnets, count(*) as artists from p group by 1""",
     "tag_frequency": f"with {_CAND} select tag, count(*) as n from els group by 1",
-    "alias_fold": f"with {_CAND} select id, {_CANON} as tag, count(*) as weight from els group by all",
+    "alias_fold": f"""with {_CAND}, n as (select tag, count(*) as n, regexp_replace(tag, '[^\\p{{L}}\\p{{N}}]', '', 'g') as key from els group by 1),
+      b as (select tag, first(tag) over (partition by key order by n desc, tag) as name from n where key <> '')
+      select id, coalesce(name, els.tag) as tag, count(*) as weight from els left join b using (tag) group by all""",
     "human_tier_union": f"""with {_HELD}, {_CAND}, b as (select * from (select distinct artist_id, lower(trim(tag, ' ')) as tag, 3 as weight from held) where tag <> '' union all select distinct artist_id, tag, 1 from els join cand using (id) where artist_id is not null),
       s as (select artist_id, tag, sum(weight) as weight from b group by all), k as (select *, row_number() over (partition by artist_id order by weight desc, tag) as place from s)
       select artist_id, tag, weight::bigint as weight, place::int as place from k where place <= 10""",
@@ -346,9 +358,7 @@ SQL = {
         union all
         select w.tag, n.a, n.b, w.k + 1 from walk w join best n on n.tag = w.tag and n.a = (select min(a) from best x where x.tag = w.tag and x.a > w.b))
       select w.tag, string_agg(s.gram, '|' order by w.k) as genres from walk w join spans s on s.tag = w.tag and s.a = w.a and s.b = w.b group by 1""",
-    "tag_classify_heuristic": f"""with {_CAND}, c as (select tag, count(*) as n from els group by 1), k as (select *, case when tag in {_in(INSTRUMENTS)} then 'instrument' when tag in {_in(META)} then 'meta' when tag in {_in(MOODS)} then 'mood'
-      when regexp_matches(tag, '{DECADE.replace("'", "''")}') then 'era' when regexp_matches(tag, '{LABEL}') then 'label' when regexp_matches(tag, '{NUMERIC.replace("'", "''")}') then 'numeric' end as category from c)
-      select tag, n, category from k where category is not null""",
+    "tag_classify_heuristic": f"with {_CAND}, c as (select tag, count(*) as n from els group by 1), k as (select *, {_KIND} as category from c) select tag, n, category from k where category is not null",
     "calibrated_tags_topk": f"""with {_HELD} select artist_id, tag, model, round((score - case when n >= 20 then mean else gmean end) / case when n >= 20 then sd else gsd end, 6) as z
       from held left join mom using (tag, model) join gm using (model) order by z desc, artist_id, tag, model limit 100""",
     "human_tag_tier": f"with {_CAND}, {_OWNED}, k as (select *, row_number() over (partition by artist_id order by tag) as place from owned) select artist_id, tag, place::int as place from k where place <= 10",
@@ -356,8 +366,7 @@ SQL = {
       u as (select artist_id, tag, 0 as tier, k from t where k <= 10 union all select artist_id, lower(trim(tag, ' ')), 1, -max(score) from held where trim(tag, ' ') <> '' group by 1, 2),
       o as (select *, row_number() over (partition by artist_id, tag order by tier, k) as rn from u), z as (select *, row_number() over (partition by artist_id order by tier, k, tag) as place from o where rn = 1)
       select artist_id, place::int as place, tag, tier from z where place <= 5""",
-    "undecided_tags": f"""with {_CAND}, {_APPROVED} select tag, count(distinct id) as n from els where tag not in (select tag from approved) and not (tag in {_in(INSTRUMENTS + META + MOODS)}
-      or regexp_matches(tag, '{DECADE.replace("'", "''")}') or regexp_matches(tag, '{LABEL}') or regexp_matches(tag, '{NUMERIC.replace("'", "''")}')) group by 1""",
+    "undecided_tags": f"with {_CAND}, {_APPROVED} select tag, count(distinct id) as n from els where tag not in (select tag from approved) and {_KIND} is null group by 1",
     "label_overlap": f"""with {_HELD}, {_CAND}, {_OWNED}, s as (select distinct artist_id, lower(trim(tag, ' ')) as tag from held where trim(tag, ' ') <> ''),
       n as (select artist_id, count(s.tag) as scored, count(o.tag) as human, count(s.tag || o.tag) as common from s full join owned o using (artist_id, tag) group by 1) select *, round(common / least(scored, human), 4) as share from n where scored > 0 and human > 0""",
     "auc_rank_sum": f"""with {_HELD}, {_CAND}, {_OWNED}, {_JUDGED}, w as (select a.model, sum(a.pos * b.neg * case when b.at < a.at then 1 when b.at = a.at then 0.5 else 0 end)::double as won from jc a join jc b using (model) group by 1),

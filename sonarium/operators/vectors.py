@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import signals
-from ..session import table
+from ..session import settle, table
 
-#: About how many vectors a block of an exact search holds.
-BLOCK_ROWS = 2048
+#: About how many vectors a block of an exact search holds, and how many queries are compared with a block at once.
+BLOCK_ROWS, STEP_ROWS = 32_768, 512
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -77,17 +76,22 @@ def _best_of_tile(k: int):
     """The k most similar rows of one tile for each of its queries, ties by id, a row itself left out."""
 
     def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
-        out = {"vec_id": [], "near_id": [], "sim": []}
+        out = []
         if asked.num_rows and rows.num_rows:
             own, ids = asked.column("vec_id").to_numpy(), rows.column("near_id").to_numpy()
             q, m = (np.stack(t.column("v").to_numpy()) for t in (asked, rows))
-            sims = np.round(q @ m.T, 6)
-            sims[own[:, None] == ids[None, :]] = -2
-            order = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, :k]
-            width = order.shape[1]
-            out = {"vec_id": np.repeat(own, width), "near_id": ids[order].ravel(), "sim": np.take_along_axis(sims, order, 1).ravel()}
-        found = pa.table(out, schema=pa.schema([("vec_id", pa.int64()), ("near_id", pa.int64()), ("sim", pa.float64())]))
-        return found.filter(pc.greater(found["sim"], -1.5))
+            for at in range(0, len(q), STEP_ROWS):
+                sims = np.round(q[at : at + STEP_ROWS] @ m.T, 6)
+                sims[own[at : at + STEP_ROWS, None] == ids[None, :]] = -2
+                least = np.partition(sims, -min(k, sims.shape[1]), axis=1)[:, -min(k, sims.shape[1])]
+                i, j = np.nonzero(sims >= np.maximum(least, -1.5)[:, None])  # with all that equal the last one
+                order = np.lexsort((ids[j], -sims[i, j], i))
+                i, j = i[order], j[order]
+                first = np.searchsorted(i, np.arange(len(sims)))
+                kept = np.arange(len(i)) - first[i] < k
+                out.append((own[at + i[kept]], ids[j[kept]], sims[i[kept], j[kept]]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], names=["vec_id", "near_id", "sim"])
 
     return run
 
@@ -98,7 +102,8 @@ def block_search(asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     Both sides hold (vec_id, v). They are cut into blocks of about ``BLOCK_ROWS`` rows by
     the hash of the id; each pair of blocks is one tile of bounded size in one task, and
     the k best of each tile are merged. Nothing is broadcast or collected. Vectors must
-    have one length; an empty side gives no rows.
+    have one length; an empty side gives no rows. Both sides are counted first, so they
+    had better be settled.
     """
     counts = [max(1, -(-side.count() // BLOCK_ROWS)) for side in (asked, rows)]
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
@@ -114,6 +119,7 @@ def knn_table(spark, sf_dir: str, k: int) -> DataFrame:
     """Neighbours by cosine of every vector of the ``embeddings`` whose id is divisible by 20, among all of them."""
     rows = table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", "embedding").dropDuplicates(["vec_id"])
     unit = rows.withColumn("len", norm(F.col("embedding"))).where("len > 0").select("vec_id", F.transform("embedding", lambda x: x / F.col("len")).alias("v"))
+    unit = settle(unit)
     return block_search(unit.where("vec_id % 20 = 0"), unit, k)
 
 
@@ -140,7 +146,7 @@ def mean_alignment(spark, sf_dir: str) -> DataFrame:
     """(artist_id, model, d): the cosine of each artist's vector with its model's mean direction."""
     rows = sound_vectors(spark, sf_dir)
     means = mean_vector(rows, ["model"]).groupBy("model").agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m"))  # as long as a vector
-    joined = rows.join(means.select("model", F.col("m.mean").alias("m")), "model")
+    joined = rows.join(F.broadcast(means.select("model", F.col("m.mean").alias("m"))), "model")  # a row a model
     d = F.round(dot(F.col("v"), F.col("m")) / (norm(F.col("v")) * norm(F.col("m"))), 4)
     return joined.select("artist_id", "model", F.when(d == 0, 0.0).otherwise(d).alias("d"))  # no negative zero
 
@@ -180,6 +186,7 @@ def sign_neighbours(spark, sf_dir: str) -> DataFrame:
     """Of every vector with an id divisible by 20 the three with most coordinates of the same sign, and their share."""
     rows = table(spark, sf_dir, "embeddings").where("embedding is not null and size(embedding) > 0").select("vec_id", "embedding").dropDuplicates(["vec_id"])
     bits = rows.select("vec_id", F.transform("embedding", lambda x: F.when(x > 0, 1.0).otherwise(-1.0) / F.sqrt(F.size("embedding"))).alias("v"))
+    bits = settle(bits)
     near = block_search(bits.where("vec_id % 20 = 0"), bits, 3)
     return near.select("vec_id", "near_id", F.round((F.col("sim") + 1) / 2, 4).alias("likeness"), "place")
 

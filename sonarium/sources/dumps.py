@@ -45,9 +45,17 @@ def html_links(html: Column) -> Column:
 
 
 def unescape_html(text: Column) -> Column:
-    """The named entities of markup, the ampersand last."""
-    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(sign))
+    """The entities of markup, numeric and the common named ones, the ampersand last."""
+    parts = F.split(text, "&#", -1)
+    digits = lambda p: F.regexp_extract(p, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+    hexed = lambda d: F.when(F.lower(d).startswith("x"), F.substr(d, F.lit(2))).otherwise(F.hex(d.try_cast("long")))
+    point = lambda p: F.conv(hexed(digits(p)), 16, 10).try_cast("long")
+    sound = lambda p: (point(p) > 0) & (point(p) < 0x110000) & ~point(p).between(0xD800, 0xDFFF)
+    sign = lambda p: F.concat(F.decode(F.unhex(F.lpad(F.hex(point(p)), 8, "0")), "UTF-32"), F.substr(p, F.length(digits(p)) + 2))
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.when((digits(p) != "") & sound(p), sign(p)).otherwise(F.concat(F.lit("&#"), p)))
+    text = F.when(F.contains(text, F.lit("&#")), F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
+    for entity, sign_ in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(sign_))
     return text
 
 

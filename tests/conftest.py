@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
 
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "3g", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "3g", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -77,6 +77,34 @@ def test_slugs_and_keys(spark):
     assert [tuple(r) for r in got] == [("publish-fixture", "publishfixture", "pblishfixture"), ("artist", "", ""), ("delic", "delic", "deli")]
 
 
+def slugs(spark, names, stored=None):
+    rows = spark.createDataFrame([(f"i{i}", n, at(1 + i)) for i, n in enumerate(names)], "id string, name string, created_at timestamp")
+    kept = spark.createDataFrame(stored, "id string, slug string") if stored else None
+    return {r.id: r.slug for r in entities.assign_slugs(rows.select("id", entities.slug_base(F.col("name")).alias("base"), "created_at"), kept).collect()}
+
+
+def test_slugs_are_unique_and_stay(spark):
+    assert slugs(spark, ["Foo", "Foo", "Foo 2"]) == {"i0": "foo", "i1": "foo-3", "i2": "foo-2"}
+    names = ["Foo", "foo!", "FOO", "Foo 3", "Foo 3", "", "", "Foo 2"]
+    got = slugs(spark, names)
+    assert len(set(got.values())) == len(names) and {got[f"i{i}"] for i in (0, 1, 2)} == {"foo", "foo-4", "foo-5"} and got["i6"] == "artist-2" and got["i4"] == "foo-3-2"
+    stored = [("i2", "foo"), ("gone", "foo-2"), ("i1", "foo-7")]
+    again = slugs(spark, names[:3], stored)
+    assert again == {"i2": "foo", "gone": "foo-2", "i1": "foo-7", "i0": "foo-3"}  # an older one that comes later takes nothing away
+
+
+def test_tag_kinds(spark):
+    kinds = {"berlin": "location", "austin tx": "location", "or": None, "saxophone": "instrument", "female vocals": "meta", "eighties": "era", "90's hip hop": "era", "creepy": "mood", "big tapes": "label", "1984": "meta", "dub": None, "lo-fi": None}
+    df = spark.createDataFrame([(t,) for t in kinds], "tag string")
+    assert {r.tag: r.kind for r in df.select("tag", tags.category(F.col("tag")).alias("kind")).collect()} == kinds
+
+
+def test_aliases_may_give_several_names(spark):
+    rows = spark.createDataFrame([(1, "hiphop", 2), (1, "hip hop", 1), (1, "dnb", 1), (2, "rock", 1)], "id int, tag string, weight int")
+    aliases = spark.createDataFrame([("hiphop", "hip hop"), ("dnb", "drum and bass"), ("dnb", "jungle"), ("dnb", "jungle")], "alias string, name string")
+    assert {tuple(r) for r in tags.fold_aliases(rows, aliases, ["id"]).collect()} == {(1, "hip hop", 3), (1, "drum and bass", 1), (1, "jungle", 1), (2, "rock", 1)}
+
+
 def test_genre_tokens(spark):
     tags_ = spark.createDataFrame([("atmospheric black metal",), ("crust/punk",), ("voodoo",)], "tag string")
     approved = spark.createDataFrame([("black metal",), ("metal",), ("punk",), ("black",)], "gram string")
@@ -109,9 +137,9 @@ def test_dump(spark, tmp_path):
 def test_payloads(spark):
     df = spark.createDataFrame([("7", '{"data":[{"id":1,"title":"t","preview":"u","duration":3,"artist":{"id":7}},{"id":2,"preview":"","artist":{"id":7}},{"id":3,"preview":"u","artist":{"id":8}}]}')], "owner string, body string")
     assert [r["id"] for r in dumps.platform_tracks(df, "body", "owner").collect()] == [1]
-    page = spark.createDataFrame([('<a href="/a?x">A</a><a href="/b#y">B</a><a href="/a">A</a>', "a &amp;lt; b")], "h string, t string")
+    page = spark.createDataFrame([('<a href="/a?x">A</a><a href="/b#y">B</a><a href="/a">A</a>', "a &amp;lt; b &#34;&#x41;&#8217;&#; &#0; x&#99999999;")], "h string, t string")
     r = page.select(dumps.html_links(F.col("h")), dumps.unescape_html(F.col("t"))).first()
-    assert list(r[0]) == ["/a", "/b"] and r[1] == "a &lt; b"
+    assert list(r[0]) == ["/a", "/b"] and r[1] == 'a &lt; b "A’&#; &#0; x&#99999999;'
 
 
 def test_stream_publishes_and_repeats(spark, tmp_path):
@@ -127,6 +155,11 @@ def test_stream_publishes_and_repeats(spark, tmp_path):
     assert {(r.k, r.v) for r in sink.read(1).collect()} == {(1, "c"), (2, "b"), (3, "d")}
     sink.upsert(spark.createDataFrame([(1, at(2), "c"), (3, at(1), "d")], schema), 1)
     assert sink.read(1).count() == 3
+    for i in range(2, 7):
+        sink.upsert(spark.createDataFrame([(1, at(i), f"v{i}")], schema), i)
+    assert sink.versions() == [4, 5, 6] and {(r.k, r.v) for r in sink.read(6).collect()} == {(1, "v6"), (2, "b"), (3, "d")}
+    with pytest.raises(ValueError):
+        sink.upsert(spark.createDataFrame([(1, at(9), "x")], schema), 9)  # version 8 is missing
     q = windowed_counts(spark.readStream.schema(schema).parquet(src), "t", "v").writeStream.format("memory").queryName("w").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(60)
 

@@ -54,14 +54,13 @@ def test_plain_title(spark, raw, want):
 
 
 def test_titles_compared(spark):
-    rows = [
-        (["alpha", "beta", "gamma", "intro"], ["alpha", "beta", "gamma", "delta"]), (["alpha", "beta"], ["alpha", "beta", "omega"]), (list(map(str, range(1000, 1005))), list(map(str, range(2000, 2006)))),
-        (["a long title"] + list(map(str, range(1000, 1005))), ["long title"] + list(map(str, range(2000, 2006)))), ([], []), (["live", "demo"], ["live", "demo"]),
-    ]
-    df = spark.createDataFrame(rows, "a array<string>, b array<string>").coalesce(1)
-    assert [r[0] for r in df.select(titles.overlap(F.col("a"), F.col("b"))).collect()] == ["same", "same", "other", "open", "open", "open"]
-    assert one(spark, titles.latin_share, ["abc", "ロック"], "array<string>") == 0.5
-    assert one(spark, titles.latin_share, [], "array<string>") == 1.0
+    rows = [("a", "Alpha (feat. X)"), ("a", "BETA ft. Y"), ("a", "Intro"), ("a", "abc"), ("a", None), (None, "alpha"), ("a", "alpha"), ("b", "Beta"), ("b", "Gamma – Delta"), ("c", "gamma delta"), ("c", "Älpha"), ("c", "beta"), ("d", "live")]
+    df = spark.createDataFrame(rows, "owner string, title string")
+    sets = titles.title_sets(df, "owner", "title")
+    assert {tuple(r) for r in sets.collect()} == {("a", "alpha"), ("a", "beta"), ("b", "beta"), ("b", "gamma delta"), ("c", "gamma delta"), ("c", "alpha"), ("c", "beta")}
+    other = sets.withColumnRenamed("owner", "mate")
+    assert {tuple(r) for r in titles.common_titles(sets, other, "owner", "mate").where("owner < mate").collect()} == {("a", "b", 1, 2), ("a", "c", 2, 2), ("b", "c", 2, 2)}
+    assert titles.common_titles(sets.limit(0), other, "owner", "mate").count() == 0
     assert [one(spark, titles.is_numbered, t, "string") for t in ("Mix Vol. 3", "Song 12", "Song")] == [True, True, False]
 
 
