@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import entities, history, publishing, snapshots, tags, vectors
+from ..operators import entities, history, publishing, refresh, snapshots, tags, vectors
 
-_MODULES = [snapshots, tags, entities, vectors, history, publishing]
+_MODULES = [snapshots, tags, entities, vectors, history, publishing, refresh]
 
 
 def flagship(spark, sf_dir: str):

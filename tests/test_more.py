@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sonarium.functions import signals, titles
-from sonarium.operators import history, publishing, ranks, vectors
-from sonarium.sources import dumps
+from sonarium.operators import history, publishing, refresh, ranks, vectors
+from sonarium.sources import dumps, generations
 
 
 def one(spark, column, value, kind):
@@ -146,3 +146,30 @@ def test_events_of_no_one_and_empty_tables(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(folder + "/events.parquet")
         for query in (history.stalls, history.stale_users, history.flag_lifecycle, history.regate_users, history.trailing_counts, history.tumbling_counts):
             assert query(spark, folder).count() <= 2
+
+
+def test_upsert_by_either_key(spark):
+    kept = spark.createDataFrame([("a", "m1", "old", "s"), ("b", None, "b", None), ("c", "m3", "c", "s")], "id string, mbid string, name string, source string")
+    new = spark.createDataFrame([("x", "m1", "new", None, 1), ("y", "m1", "newer", "t", 2), ("b", "m2", None, "u", 1), ("z", "m9", "z", None, 1), (None, "m3", "lost", None, 9)], "id string, mbid string, name string, source string, t int")
+    got = {tuple(r) for r in refresh.upsert_by_either(kept, new, ["name"], ["source"], "t").select("id", "mbid", "name", "source").collect()}
+    assert got == {("a", "m1", "newer", "t"), ("b", "m2", None, "u"), ("c", "m3", "c", "s"), ("z", "m9", "z", None)}
+
+
+def test_redirects_are_followed_to_their_end(spark):
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(21)]
+    edges = spark.createDataFrame(chain + [("p", "q"), ("q", "p"), ("r", "p"), ("s", "s"), ("t", "z"), ("t", "u"), (None, "v")], "source string, target string")
+    got = {r.source: r.final for r in refresh.resolve_redirects(edges).collect()}
+    assert got == {**{f"c{i}": "c21" for i in range(21)}, "p": None, "q": None, "r": None, "t": "u"}
+    assert refresh.resolve_redirects(edges.limit(0)).count() == 0
+
+
+def test_generations(spark, tmp_path):
+    kept = generations.Generations(spark, str(tmp_path / "g"))
+    with pytest.raises(ValueError):
+        kept.current()
+    for n in (3, 5):
+        kept.load(spark.range(n).toDF("id"), least=2)
+    assert kept.current().count() == 5
+    with pytest.raises(ValueError):
+        kept.load(spark.range(1).toDF("id"), least=2)
+    assert generations.Generations(spark, kept.path).current().count() == 5
