@@ -26,6 +26,8 @@ from ..session import settle, table
 GRAM, WINDOW = 4, 4
 #: Consecutive words in common that make a case; a fingerprint is sure from ``GRAM + WINDOW - 1`` on.
 SPAN = 12
+#: Diagonals of a band in which two fingerprints count as of one passage.
+BAND = 32
 #: Share of a passage's words, in order, that makes "nearly all" of it.
 NEARLY_ALL = 0.8
 #: Evaluation k-grams up to which they are sent to every task; a larger set is joined by shuffling.
@@ -208,9 +210,13 @@ def shared_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
         grams, held = F.broadcast(grams), F.broadcast(held)
     rows = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
     prints = rows.mapInArrow(_fingerprints(known), "doc_id bigint, h bigint, pos int")
-    # SPAN words in a row have more grams than a window twice, so at least two fingerprints; one alone is chance
-    met = prints.join(grams, "h").groupBy("doc_id", "item_id", "field").agg(F.collect_set(F.col("pos") - F.col("ipos")).alias("diagonals"), F.min("pos").alias("low"), F.max("pos").alias("high"))
-    pairs = settle(met.where("low < high").drop("low", "high"))
+    # SPAN words in a row have more grams than a window twice, so at least two fingerprints on one diagonal; one alone is
+    # chance. Bands of diagonals overlap by half, so that words left out or added in between part no hits.
+    d = F.col("pos") - F.col("ipos")
+    bands = F.explode(F.array(F.floor(d / BAND) * 2, F.floor(d / BAND + 0.5) * 2 + 1))
+    met = prints.join(grams, "h").select("doc_id", "item_id", "field", "pos", d.alias("d"), bands.alias("band")).groupBy("doc_id", "item_id", "field", "band")
+    near = met.agg(F.collect_set("d").alias("of"), F.min("pos").alias("low"), F.max("pos").alias("high")).where("low < high")
+    pairs = settle(near.groupBy("doc_id", "item_id", "field").agg(F.array_distinct(F.flatten(F.collect_list("of"))).alias("diagonals")))
     hit = rows.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     words = hit.mapInArrow(_numbered, "doc_id bigint, words binary")  # of texts with a hit alone
     whole = pairs.join(words, "doc_id").join(held.select("item_id", "field", "item_words"), ["item_id", "field"])
