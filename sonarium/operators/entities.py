@@ -135,11 +135,11 @@ def evidence_methods(spark, sf_dir: str) -> DataFrame:
 
 
 def evidence_patch(spark, sf_dir: str) -> DataFrame:
-    """JSON objects patched: one key set, one removed; keys of each object as rows."""
+    """JSON objects patched: one key set, two removed; keys and values of each object as rows."""
     as_map = F.from_json("binding_evidence", "map<string,string>")
     patched = F.map_filter(as_map, lambda k, v: ~k.isin("query", "checked"))
     whole = F.map_concat(F.coalesce(patched, F.create_map().cast("map<string,string>")), F.create_map(F.lit("checked"), F.lit("yes")))
-    return pages(spark, sf_dir).select("id", F.explode(F.map_keys(whole)).alias("key"))
+    return pages(spark, sf_dir).select("id", F.explode(whole))
 
 
 def lost_pages(spark, sf_dir: str) -> DataFrame:
@@ -258,7 +258,7 @@ SQL = {
     "shared_url_losers": f"""with {_P}, {_OWNERS}, k as (select id, platform, first_seen_at, {_KEY.format('owner')} as owner from o where host is not null and owner is not null),
       r as (select *, row_number() over w as rn, first(id) over w as winner from k window w as (partition by platform, owner order by first_seen_at nulls first, id)) select platform, owner, id as loser, winner from r where rn > 1""",
     "evidence_methods": f"with {_P} select platform, coalesce(json_extract_string(binding_evidence, '$.method'), 'none') as method, count(*) as pages, round(avg(json_extract(binding_evidence, '$.popularity')::bigint), 4) as popularity, coalesce(sum(json_extract(binding_evidence, '$.candidates_total')::int), 0)::bigint as candidates from p group by 1, 2",
-    "evidence_patch": f"with {_P} select id, key from (select id, unnest(json_keys(binding_evidence)) as key from p) where key not in ('query', 'checked') union all select id, 'checked' from p",
+    "evidence_patch": f"""with {_P} select id, key, json_extract_string(binding_evidence, '$."' || key || '"') as value from (select id, binding_evidence, unnest(json_keys(binding_evidence)) as key from p) where key not in ('query', 'checked') union all select id, 'checked', 'yes' from p""",
     "lost_pages": f"with {_A}, {_P} select id, artist_id from p where artist_id is not null and (artist_id not in (select id from a) or artist_id not in (select artist_id from artist_embedding where artist_id is not null))",
     "either_key_links": f"""with {_A}, {_C}, {_P}, v as (select c.id, p.artist_id, 'page' as via from c join p using (platform_id) where p.platform = 'bandcamp' and p.artist_id is not null)
       select distinct * from v union select c.id, a.id, 'name' from c join a on {_KEY.format('c.band_name')} = {_KEY.format('a.display_name')} where {_KEY.format('a.display_name')} <> '' and c.id not in (select id from v)""",

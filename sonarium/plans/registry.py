@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import entities, history, publishing, refresh, serving, snapshots, tags, vectors
+from ..operators import entities, feeds, history, publishing, refresh, serving, snapshots, tags, vectors
 
-_MODULES = [snapshots, tags, entities, vectors, history, publishing, refresh, serving]
+_MODULES = [snapshots, tags, entities, vectors, history, publishing, refresh, serving, feeds]
 
 
 def flagship(spark, sf_dir: str):

@@ -39,6 +39,18 @@ def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.text(path).select(*out)
 
 
+def write_dump(rows: DataFrame, path: str) -> None:
+    r"""Write a frame of plain columns as ``read_dump`` reads it: ``\N`` for null, t and f for booleans, backslash escapes."""
+    out = []
+    for field in rows.schema:
+        cell = F.col(field.name)
+        text = F.when(cell, "t").otherwise("f") if field.dataType == T.BooleanType() else cell.cast("string")
+        for sign, code in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+            text = F.replace(text, F.lit(sign), F.lit(code))
+        out.append(F.when(cell.isNull(), "\\N").otherwise(text))
+    rows.select(F.concat_ws("\t", *out).alias("value")).write.text(path)
+
+
 def html_links(html: Column) -> Column:
     """The addresses of a page's links in order, each once, without fragment and query."""
     return F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(r'href="([^"]+)"'), F.lit(1)), lambda u: F.regexp_replace(u, r"[#?].*$", "")))

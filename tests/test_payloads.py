@@ -85,3 +85,22 @@ def test_required_and_to_fetch(spark):
     cached = spark.createDataFrame([("a", 200, "x", 1), ("a", 500, "x", 2), ("b", 404, "", 1), ("c", 200, None, 3), ("d", 500, "x", 1), ("d", 204, "x", 2)], "key string, status int, body string, fetched_at int")
     wanted = spark.createDataFrame([(k,) for k in "aabcde"] + [(None,)], "key string")
     assert rows(payloads.to_fetch(wanted, cached), "key") == [("a",), ("c",), ("e",)]
+
+
+def test_dump_round_trip(spark, tmp_path):
+    from sonarium.sources import dumps
+
+    data = [("a\tb", True, 1), ("\\N", False, None), ("line\nnext\r", None, 2), ("\\t", True, 3), ("", None, 4), (None, None, 5)]
+    frame = spark.createDataFrame(data, "s string, b boolean, n long")
+    dumps.write_dump(frame, f"{tmp_path}/dump")
+    assert sorted(map(repr, (tuple(r) for r in dumps.read_dump(spark, f"{tmp_path}/dump", frame.schema).collect()))) == sorted(map(repr, data))
+
+
+def test_identities_by_earliest_claim(spark):
+    from sonarium.operators.feeds import derive_identities
+
+    claims = spark.createDataFrame([("b", "d", "1", 2), ("a", "d", "1", 3), ("c", "d", "1", 2), ("c", "d", "2", None), ("a", "d", "2", 9), (None, "d", "3", 1), ("a", "d", "", 1), ("a", "s", "1", 1), ("e", "d", "1", None)], "artist_id string, platform string, platform_id string, at int")
+    filed = spark.createDataFrame([("e", "d")], "artist_id string, platform string")
+    got = derive_identities(claims, filed)
+    assert rows(got, "kind", "artist_id", "platform", "platform_id") == [("identity", "a", "d", "2"), ("identity", "a", "s", "1"), ("identity", "b", "d", "1"), ("review", "a", "d", "1"), ("review", "c", "d", "1")]
+    assert derive_identities(claims.limit(0), filed).count() == 0
