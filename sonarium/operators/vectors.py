@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import signals
 from ..session import settle, table
+from .ranks import placed
 
 #: About how many vectors a block of an exact search holds, and how many queries are compared with a block at once.
 BLOCK_ROWS, STEP_ROWS = 32_768, 512
+#: The sum of similarities from which on anchors decide a label.
+LEAST_VOTE = 0.8
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -191,6 +194,46 @@ def sign_neighbours(spark, sf_dir: str) -> DataFrame:
     return near.select("vec_id", "near_id", F.round((F.col("sim") + 1) / 2, 4).alias("likeness"), "place")
 
 
+def clip_keys(spark, sf_dir: str) -> DataFrame:
+    """The first twelve values of each clip's vector read as chroma means: its key and mode. Vectors with a null or NaN there are left out."""
+    clips = table(spark, sf_dir, "clip_embedding").where("id is not null and size(embedding) >= 12").groupBy("id").agg(F.max("embedding").alias("v"))
+    first = clips.select("id", F.slice("v", 1, 12).alias("c")).where("not exists(c, x -> x is null or isnan(x) or abs(x) > 1e30) and array_max(c) > array_min(c)")
+    return first.select("id", signals.key_of(F.transform("c", lambda x: x.cast("double"))).alias("k")).select("id", "k.key", "k.mode")
+
+
+def sign_words(v: Column) -> Column:
+    """The signs of a vector as words of 32 bits; what is left over at the end is dropped."""
+    word = lambda i: F.aggregate(F.slice(v, i * 32 + 1, F.lit(32)), F.lit(0).cast("bigint"), lambda s, x: s * 2 + F.when(x > 0, 1).otherwise(0))
+    n = F.floor(F.size(v) / 32).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), word))
+
+
+def clip_likeness(spark, sf_dir: str) -> DataFrame:
+    """Of each clip and the next of its track and model, by start and id, the share of equal bits of the signs: near-duplicate
+    neighbours within a recording, one row a clip, without all pairs of a track."""
+    clips = table(spark, sf_dir, "clip_embedding").where("id is not null and track_id is not null and size(embedding) = dim and dim >= 32").groupBy("id").agg(F.max(F.struct("track_id", "model", "segment_start_s", "embedding")).alias("c")).select("id", "c.*")
+    words = clips.select("id", "track_id", "model", "segment_start_s", sign_words(F.col("embedding")).alias("w"))
+    at = settle(placed(words, ["track_id", "model"], ["segment_start_s", "id"], "n"))  # of any number of clips
+    after = at.select("track_id", "model", (F.col("n") - 1).alias("n"), F.col("id").alias("next_id"), F.col("w").alias("next_w"))
+    pairs = at.join(after, ["track_id", "model", "n"])
+    return pairs.select("id", "next_id", F.round(signals.likeness(F.col("w"), F.col("next_w"), least=1), 6).alias("alike"))
+
+
+def anchored_labels(spark, sf_dir: str) -> DataFrame:
+    """Each asked vector's label by the votes of its ten nearest anchors, the vectors whose label is even, weighted by similarity;
+    without a vote of ``LEAST_VOTE`` the anchors' most frequent label, of equals the least, as a fallback."""
+    rows = table(spark, sf_dir, "embeddings").where("embedding is not null and vec_id is not null").select("vec_id", "label", "embedding").dropDuplicates(["vec_id"])
+    unit = settle(rows.withColumn("len", norm(F.col("embedding"))).where("len > 0").select("vec_id", "label", F.transform("embedding", lambda x: x / F.col("len")).alias("v")))
+    anchors, asked = unit.where("label % 2 = 0"), unit.where("vec_id % 20 = 0")
+    near = block_search(asked.select("vec_id", "v"), anchors.select("vec_id", "v"), 10).join(anchors.select(F.col("vec_id").alias("near_id"), "label"), "near_id")
+    votes = near.groupBy("vec_id", "label").agg(F.round(F.sum(F.greatest("sim", F.lit(0.0))), 6).alias("vote"))
+    best = votes.groupBy("vec_id").agg(F.min(F.struct((-F.col("vote")).alias("m"), "label")).alias("b")).select("vec_id", F.col("b.label").alias("voted"), (-F.col("b.m")).alias("vote"))
+    usual = anchors.groupBy("label").agg(F.count("*").alias("n")).agg(F.min(F.struct((-F.col("n")).alias("m"), "label"))["label"].alias("usual"))
+    told = asked.select("vec_id").join(best, "vec_id", "left").crossJoin(F.broadcast(usual))  # one row
+    sure = F.coalesce(F.col("vote") >= LEAST_VOTE, F.lit(False))
+    return told.select("vec_id", F.when(sure, F.col("voted")).otherwise(F.col("usual")).alias("label"), F.when(sure, "anchors").otherwise("usual").alias("via"))
+
+
 _V = """h as (select *, row_number() over (partition by artist_id, model order by computed_at desc nulls last, dim desc, embedding desc) as rn from artist_embedding),
   sv as (select artist_id, model, embedding as v from h where rn = 1 and len(embedding) = dim and not list_bool_or(list_transform(embedding, lambda x: x is null or isnan(x) or isinf(x)))
     and list_sum(list_transform(embedding, lambda x: x::double * x::double)) > 0)"""
@@ -198,7 +241,9 @@ _CELLS = "src as (select distinct id as artist_id, embedding_source as source fr
 _NEAR = """e as (select distinct on (vec_id) vec_id, label, list_transform(embedding, lambda x: x::double / sqrt(list_sum(list_transform(embedding, lambda y: y::double * y::double)))) as v from embeddings where embedding is not null),
   s as (select a.vec_id, b.vec_id as near_id, b.label as near_label, a.label, round(list_inner_product(a.v, b.v), 6) as sim from e a join e b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
   k as (select *, row_number() over (partition by vec_id order by sim desc, near_id) as place from s)"""
-QUERIES = {f.__name__: f for f in (vector_norm_audit, source_centroids, source_coherence, label_separation, knn_topk, precision_at_1, knn_label_votes, mean_alignment, label_scorecards, clip_soundness, equal_clips, sign_neighbours)}
+_PROFILES = [(name, mode, np.roll(p, i)) for i, name in enumerate(signals.KEYS) for mode, p in (("major", signals.MAJOR), ("minor", signals.MINOR))]
+_TURNED = ", ".join(f"('{name}', '{mode}', {[float(x) for x in (p - p.mean()) / p.std()]})" for name, mode, p in _PROFILES)
+QUERIES = {f.__name__: f for f in (vector_norm_audit, source_centroids, source_coherence, label_separation, knn_topk, precision_at_1, knn_label_votes, mean_alignment, label_scorecards, clip_soundness, equal_clips, sign_neighbours, clip_keys, clip_likeness, anchored_labels)}
 SQL = {
     "vector_norm_audit": f"with {_V}, n as (select model, sqrt(list_sum(list_transform(v, lambda x: x::double * x::double))) as n from sv) select model, count(*) as vectors, count(*) filter (where n < 0.99 or n > 1.01) as off_norm from n group by 1",
     "source_centroids": f"with {_V}, {_CELLS}, l as (select source, model, sqrt(sum(mean * mean)) as len from cells group by all) select source, model, pos, round(mean / len, 5) as value, n from cells join l using (source, model)",
@@ -224,4 +269,12 @@ SQL = {
     "sign_neighbours": """with e as (select distinct on (vec_id) vec_id, list_transform(embedding, lambda x: case when x > 0 then 1 else 0 end) as b from embeddings where embedding is not null and len(embedding) > 0),
       s as (select a.vec_id, b.vec_id as near_id, list_sum(list_transform(list_zip(a.b, b.b), lambda p: case when p[1] = p[2] then 1 else 0 end)) / len(a.b)::double as likeness from e a join e b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
       k as (select *, row_number() over (partition by vec_id order by likeness desc, near_id) as place from s) select vec_id, near_id, round(likeness, 4) as likeness, place::int as place from k where place <= 3""",
+    "clip_keys": f"""with c as (select id, max(embedding)[1:12]::double[] as c from clip_embedding where id is not null and len(embedding) >= 12 group by 1), d as (select id, list_transform(c, lambda x: x - list_avg(c)) as c from c where not list_bool_or(list_transform(c, lambda x: x is null or isnan(x) or abs(x) > 1e30)) and list_max(c) > list_min(c)),
+      k as (select id, key, mode, row_number() over (partition by id order by list_inner_product(c, p) desc) as rn from d cross join (values {_TURNED}) t(key, mode, p)) select id, key, mode from k where rn = 1""",
+    "clip_likeness": """with c as (select distinct on (id) id, track_id, model, segment_start_s, embedding as v from clip_embedding where id is not null and track_id is not null and len(embedding) = dim and dim >= 32),
+      n as (select id, v, lead(id) over w as next_id, lead(v) over w as next_v from c window w as (partition by track_id, model order by segment_start_s nulls first, id))
+      select id, next_id, round(list_sum(list_transform(range(1, len(v) + 1), lambda i: (coalesce(v[i] > 0, false) = coalesce(next_v[i] > 0, false))::int)) / len(v), 6) as alike from n where next_id is not null""",
+    "anchored_labels": f"""with {_NEAR.replace("a.vec_id <> b.vec_id", "a.vec_id <> b.vec_id and b.label % 2 = 0")}, v as (select vec_id, near_label as label, round(sum(greatest(sim, 0)), 6) as vote from k where place <= 10 group by all),
+      b as (select * from (select *, row_number() over (partition by vec_id order by vote desc, label) as rn from v) where rn = 1), u as (select label from e where label % 2 = 0 group by 1 order by count(*) desc, label limit 1)
+      select e.vec_id, case when vote >= 0.8 then b.label else u.label end as label, case when vote >= 0.8 then 'anchors' else 'usual' end as via from e left join b using (vec_id) cross join u where e.vec_id % 20 = 0""",
 }
