@@ -23,11 +23,13 @@ LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7"
 WORD_FORMS = {
     "bros": "brothers", "sis": "sisters", "sistas": "sisters", "exp": "experience", "xperience": "experience",
     "bigband": "big band", "kollektiv": "collective", "coll": "collective", "proj": "project", "projekt": "project",
-    "phil": "philharmonic", "philharmonie": "philharmonic", "koor": "choir", "chor": "choir", "qrt": "quartet",
+    "phil": "philharmonic", "philharmonie": "philharmonic", "koor": "choir", "chor": "choir",
     "4tet": "quartet", "quartett": "quartet", "ensamble": "ensemble", "ens": "ensemble", "orch": "orchestra",
     "orchester": "orchestra", "orkestra": "orchestra", "soundsystem": "sound system", "soundsys": "sound system",
-    "3o": "trio", "s/s": "sound system", "mk": "mc", "di": "dj", "chr": "choir", "proi": "project", "musik": "music",
+    "3o": "trio", "s/s": "sound system", "mk": "mc", "di": "dj", "musik": "music",
 }
+#: Words of one part that short forms stand for.
+_WHOLE = sorted({w for w in WORD_FORMS.values() if w.isalpha() and len(w) > 3})
 # Nicknames of given names.
 NICKNAMES = {
     "abigail": "abby gail abbie", "alexander": "alex xander sasha al sandy lex", "anthony": "tony ant", "benjamin": "ben benji benny",
@@ -46,7 +48,7 @@ for _full, _short in NICKNAMES.items():
     for _s in _short.split():
         _GIVEN.setdefault(_s, []).append(_full)
 # Words that come and go with a name.
-LOOSE = {"the", "tkhe", "tche", "and", "und", "official", "topic", "live", "music", "hq", "of"}
+LOOSE = {"the", "and", "und", "official", "topic", "live", "music", "hq", "of"}
 JOINERS = {"y", "n", "e", "et"}
 TITLES = {"dj", "mc", "the"}
 
@@ -94,16 +96,25 @@ def tokens(name: str | None) -> list[str]:
                 if re.search("[a-z$]", w) and w not in WORD_FORMS:
                     w = w.translate(LOOKALIKE)
                 w = _KEEP.sub("", w)
-                w = WORD_FORMS.get(w, w)
+                w = WORD_FORMS.get(w) or contracted(w)
                 out += [x for x in w.split(" ") if x]
     last = len(out) - 1
     kept = [
         w for i, w in enumerate(out)
-        if not (w in LOOSE or (0 < i < last and w in JOINERS) or (i == last > 0 and w.isdigit()) or (w == "band" and i > 1 and out[i - 1] != "big"))
+        if not (w.replace("kh", "h") in LOOSE or (0 < i < last and w in JOINERS) or (i == last > 0 and w.isdigit()) or (w == "band" and i > 1 and out[i - 1] != "big"))
     ]
     return kept or out
 
 
+def contracted(word: str) -> str:
+    """A word of three or more consonants as the one word of a kind of act that begins like it and has them in this order;
+    the word itself if there is no such word or several."""
+    if len(word) < 3 or not word.isalpha() or set(word) & set("aeiouy"):
+        return word
+    fit = [w for w in _WHOLE if w[0] == word[0] and re.search(".*".join(word), w)]
+    return fit[0] if len(fit) == 1 else word
+
+
 def sound(word: str) -> str:
     """A word by its sound: letters that are taken for one another are one, doubled ones single."""
     for a, b in _SOUNDS:

@@ -333,3 +333,10 @@ def test_a_template_of_pages_is_what_whole_pages_repeat(spark):
     page = "Zuga browser tapplo wemi krast."
     texts = {1: page, 2: "MENU\n" + page.upper(), 3: "A long and true story of a band that plays in a barn above a bakery. " + page, 4: "Their browser song is a long and true story of a band that plays in a barn.", 5: "Their browser song has a long and odd story of a band that plays in a barn."}
     assert set(residue_of(spark, texts)) == {1, 2, 3}
+
+
+def test_short_forms_follow_a_rule():
+    from sonarium.llm.spelling import contracted, tokens
+
+    assert [contracted(w) for w in ("qrt", "chr", "prj", "dj", "mc", "rch", "orch", "trio", "", "bst")] == ["quartet", "choir", "project", "dj", "mc", "rch", "orch", "trio", "", "bst"]
+    assert tokens("The Foo Qrt.") == tokens("Tkhe FOO Quartet") == ["foo", "quartet"]
