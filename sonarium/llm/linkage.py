@@ -31,7 +31,7 @@ W_ONE_PAGE, W_SAME_ACT = 1.0, 1.0
 RHO, TOLERANCE = 2.0, 1e-3
 #: Rules times variables up to which one task settles a group of rules.
 GROUP_ROWS = 200_000
-#: Candidates up to which a site is somebody's own; one that more have is a host of many, and says nothing.
+#: Acts up to which a site outweighs the prior; as more share it, it weighs less and less. Records of one act count as one, however many.
 OWN_SITE = 20
 #: Sureness from which two records count as the same act.
 SURE = 0.5
@@ -69,18 +69,24 @@ def plain_site(url: Column) -> Column:
     return F.nullif(host, F.lit(""))
 
 
+def plain_address(url: Column) -> Column:
+    """The site with what follows it, which tells the acts of one host apart."""
+    whole = F.regexp_extract(F.lower(url), r"^(?:[a-z]+://)?(?:www\.)?([^/?#]+[^#]*)", 1)
+    return F.nullif(F.regexp_replace(whole, r"[/\s]+$", ""), F.lit(""))
+
+
 def candidate_side(candidates: DataFrame) -> DataFrame:
-    """(id, name, place, tags, site) of each candidate; re-delivered rows count once."""
+    """(id, name, place, tags, site, address) of each candidate; re-delivered rows count once."""
     once = candidates.where("id is not null").groupBy("id").agg(*(F.max(c).alias(c) for c in ("band_name", "location", "tags", "links")))
     return once.select(
         "id", F.col("band_name").alias("name"), F.col("location").alias("place"),
         F.array_distinct(F.filter(F.transform(F.coalesce("tags", F.array().cast("array<string>")), plain_tag), lambda x: x.isNotNull() & ~x.startswith("label:"))).alias("tags"),
-        plain_site(F.get_json_object("links", "$.site")).alias("site"),
+        plain_site(F.get_json_object("links", "$.site")).alias("site"), plain_address(F.get_json_object("links", "$.site")).alias("address"),
     )
 
 
 def page_side(pages: DataFrame) -> DataFrame:
-    """(id, platform, name, place, tags, site) of each page bound to nobody whose kind is unknown."""
+    """(id, platform, name, place, tags, site, address) of each page bound to nobody whose kind is unknown."""
     loose = pages.where("id is not null and artist_id is null and page_type = 'unknown'").dropDuplicates(["id"])
     said = F.from_json("binding_evidence", "candidate_name string, city string, site string, tags array<string>")
     # a page whose evidence has no name goes by the last part of its own address, else by its id on the platform
@@ -90,7 +96,7 @@ def page_side(pages: DataFrame) -> DataFrame:
         "id", "platform", F.coalesce(F.nullif(F.trim("e.candidate_name"), F.lit("")), F.nullif(address, F.lit("")), own).alias("name"),
         F.col("e.city").alias("place"),
         F.array_distinct(F.filter(F.transform(F.coalesce("e.tags", F.array().cast("array<string>")), plain_tag), lambda x: x.isNotNull())).alias("tags"),
-        plain_site(F.col("e.site")).alias("site"),
+        plain_site(F.col("e.site")).alias("site"), plain_address(F.col("e.site")).alias("address"),
     )
 
 
@@ -109,6 +115,39 @@ def _placed(side: DataFrame, countries: DataFrame) -> DataFrame:
     return side.join(towns, "id", "left").withColumn("towns", F.coalesce("towns", F.array().cast("array<string>")))
 
 
+def _site_keys(side: DataFrame) -> DataFrame:
+    """(id, name, site, key): the site of each record, and its whole address where that says more."""
+    return side.where("site is not null").select("id", "name", "site", F.explode(F.array_distinct(F.array("site", F.coalesce("address", "site")))).alias("key"))
+
+
+def site_shares(left: DataFrame, names: DataFrame, both_ways: DataFrame) -> DataFrame:
+    """(id, site, key, share): of the candidates with this site or address, the share whose names are spellings of this one's.
+
+    So a site is somebody's own, with 1, however many records that act has, and each of
+    n acts has an nth of a host, at any size of the table. Records without a name count
+    as spellings of each other.
+    """
+    keys = _site_keys(left).join(names.select("name", "form"), "name", "left").withColumn("form", F.coalesce("form", F.lit("")))
+    forms = keys.groupBy("key", "form").agg(F.count("*").alias("n"))
+    total = keys.groupBy("key").agg(F.count_distinct("id").alias("total"), F.count_distinct("form").alias("forms"))
+    mixed = forms.join(total.where("forms > 1").select("key"), "key", "left_semi")
+    beside = mixed.select("key", F.col("form").alias("form_a")).join(both_ways.select("form_a", "form_b"), "form_a").join(mixed.withColumnRenamed("form", "form_b"), ["key", "form_b"])
+    beside = beside.groupBy("key", F.col("form_a").alias("form")).agg(F.sum("n").alias("more"))
+    share = F.least(F.lit(1.0), (F.col("n") + F.coalesce("more", F.lit(0))) / F.col("total"))
+    shares = forms.join(beside, ["key", "form"], "left").join(total, "key").select("key", "form", share.alias("share"))
+    return keys.join(shares, ["key", "form"]).groupBy("id", "site", "key").agg(F.max("share").alias("share"))
+
+
+def _strength(share: Column) -> Column:
+    """How much of a site's weight counts for an act with this share of it."""
+    return F.least(F.lit(1.0), share * ((OWN_SITE + 0.5) * W_PRIOR / W_SITE))
+
+
+def outweighs(site: Column) -> Column:
+    """Whether what the site says is worth more than the prior."""
+    return site * W_SITE > W_PRIOR
+
+
 def _compare_widely(batches):
     """Rows (a, b, name) of the pairs (a, b, wa, wb) whose names differ by no more than one edit beyond the bound."""
     for batch in batches:
@@ -120,15 +159,13 @@ def _compare_widely(batches):
 def paired(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of the two sides with similar names or one site, and what speaks for and against each.
 
-    Columns: a, b, platform, name (1 for equal forms), town and site (1, 0 unknown,
-    -1 different), tags (weighted share of the smaller set that is common, -1 if both
+    Columns: a, b, platform, name (1 for equal forms), town (1, 0 unknown, -1 different),
+    site (likewise, less of either the more acts share it), tags (weighted share of the smaller set that is common, -1 if both
     have tags and none is common, null if a side has none).
     """
     places = left.select("place").unionByName(right.select("place")).where("trim(place) <> ''")
     countries = settle(countries_of(places))
-    hosts = left.where("site is not null").groupBy("site").agg(F.count_distinct("id").alias("n")).where(F.col("n") > OWN_SITE).select("site", F.lit(True).alias("shared"))
-    own = lambda side: side.join(hosts, "site", "left").withColumn("site", F.when(F.col("shared").isNull(), F.col("site"))).drop("shared")
-    left, right = settle(own(_placed(left, countries))), settle(own(_placed(right, countries)))
+    left, right = settle(_placed(left, countries)), settle(_placed(right, countries))
 
     names = plain_forms(left.select("name").unionByName(right.select("name")))
     names = settle(names)
@@ -139,7 +176,10 @@ def paired(left: DataFrame, right: DataFrame) -> DataFrame:
     la = left.join(spelt, "name").select(F.col("id").alias("a"), F.col("form").alias("form_a"))
     rb = right.join(spelt, "name").select(F.col("id").alias("b"), F.col("form").alias("form_b"))
     by_name = both_ways.unionByName(same).join(la, "form_a").join(rb, "form_b").select("a", "b", (1 - F.col("cost") / 8).alias("name"))
-    by_site = left.where("site is not null").select(F.col("id").alias("a"), "site").join(right.select(F.col("id").alias("b"), "site"), "site").select("a", "b", F.lit(0.65).alias("name"))
+    # a site shared by so many that it doesn't outweigh the prior can't make a pair of unlike names by itself; the whole address still can
+    shares = settle(site_shares(left, names, both_ways))
+    vouching = shares.where(outweighs(_strength(F.col("share")))).select(F.col("id").alias("a"), "key")
+    by_site = vouching.join(_site_keys(right).select(F.col("id").alias("b"), "key"), "key").select("a", "b", F.lit(0.65).alias("name"))
     # names further apart, of records with a word, a town and a tag in common
     def marks(side: DataFrame, i: str) -> DataFrame:
         told = side.where("size(towns) > 0 and size(tags) > 0").join(names.select("name", "words"), "name")
@@ -154,9 +194,11 @@ def paired(left: DataFrame, right: DataFrame) -> DataFrame:
 
     weights = left.select(F.explode("tags").alias("tag")).unionByName(right.select(F.explode("tags").alias("tag"))).groupBy("tag").count()
     sides = left.count() + right.count()
+    own = shares.groupBy("id").agg(F.max(F.when(F.col("key") == F.col("site"), F.col("share"))).alias("own"), F.max("share").alias("own_address"))
+    hosts = shares.where("key = site").groupBy("site").agg(F.avg("share").alias("own_b"))
     full = (
-        pairs.join(left.select(F.col("id").alias("a"), F.col("towns").alias("ta"), F.col("tags").alias("ga"), F.col("site").alias("sa")), "a")
-        .join(right.select(F.col("id").alias("b"), "platform", F.col("towns").alias("tb"), F.col("tags").alias("gb"), F.col("site").alias("sb")), "b")
+        pairs.join(left.join(own, "id", "left").select(F.col("id").alias("a"), F.col("towns").alias("ta"), F.col("tags").alias("ga"), F.col("site").alias("sa"), F.col("address").alias("aa"), "own", "own_address"), "a")
+        .join(right.join(hosts, "site", "left").select(F.col("id").alias("b"), "platform", F.col("towns").alias("tb"), F.col("tags").alias("gb"), F.col("site").alias("sb"), F.col("address").alias("ab"), F.coalesce("own_b", F.lit(1.0)).alias("own_b")), "b")
     )
     full = settle(full)
     weight = F.log(F.lit(1.0) + F.lit(float(sides)) / F.col("count"))
@@ -165,7 +207,8 @@ def paired(left: DataFrame, right: DataFrame) -> DataFrame:
     common, of_a, of_b = (F.sum(F.when(where, weight).otherwise(0.0)) for where in (in_a & in_b, in_a, in_b))
     shares = told.groupBy("a", "b").agg((common / F.least(of_a, of_b)).alias("share"))
     town = F.when((F.size("ta") > 0) & (F.size("tb") > 0), _same_town(F.coalesce("ta", F.array().cast("array<string>")), F.coalesce("tb", F.array().cast("array<string>"))) * 2 - 1).otherwise(0)
-    site = F.when(F.col("sa").isNull() | F.col("sb").isNull(), 0).when(F.col("sa") == F.col("sb"), 1).otherwise(-1)
+    same_site = _strength(F.when(F.col("aa") == F.col("ab"), F.col("own_address")).otherwise(F.col("own")))
+    site = F.when(F.col("sa").isNull() | F.col("sb").isNull(), 0.0).when(F.col("sa") == F.col("sb"), same_site).otherwise(-_strength(F.least("own", "own_b")))
     return full.join(shares, ["a", "b"], "left").select(
         "a", "b", "platform", "name", town.alias("town"), site.alias("site"), F.when(F.col("share") == 0, -1.0).otherwise(F.col("share")).alias("tags")
     )
@@ -178,16 +221,18 @@ def ground_rules(pairs: DataFrame) -> DataFrame:
     """
     v = pairs.withColumn("var", F.concat_ws("|", F.col("a").cast("string"), F.col("b").cast("string")))
 
-    def one(kind: str, where: Column, weight: float, base: Column, coef: float) -> DataFrame:
+    def one(kind: str, where: Column, weight: float | Column, base: Column, coef: float) -> DataFrame:
         return v.where(where).select(F.concat(F.lit(f"{kind}:"), "var").alias("rule"), "var", F.lit(coef).alias("coef"), base.cast("double").alias("base"), F.lit(weight).alias("weight"))
 
+    own_site, other_site = outweighs(F.col("site")), outweighs(-F.col("site"))
+
     tags = 0.75 + 0.25 * F.col("tags")  # a tag in common says much, more of them little more
     rules = [
-        one("site", F.col("site") == 1, W_SITE, F.col("name"), -1.0),
+        one("site", F.col("site") > 0, W_SITE * F.col("site"), F.col("name"), -1.0),
         one("place", F.col("town") == 1, W_PLACE, F.col("name"), -1.0),
         one("tags", F.col("tags") > 0, W_TAGS, F.col("name") + tags - 1, -1.0),
         one("prior", F.lit(True), W_PRIOR, F.lit(0.0), 1.0),
-        one("othersite", F.col("site") == -1, W_OTHER_SITE, F.lit(0.0), 1.0),
+        one("othersite", F.col("site") < 0, -W_OTHER_SITE * F.col("site"), F.lit(0.0), 1.0),
         one("otherplace", F.col("town") == -1, W_OTHER_PLACE, F.lit(0.0), 1.0),
         one("othertags", F.col("tags") == -1, W_OTHER_TAGS, F.lit(0.0), 1.0),
     ]
@@ -201,10 +246,11 @@ def ground_rules(pairs: DataFrame) -> DataFrame:
     # And a candidate that agrees with the page the other candidates of a page. Exclusivity on the page's side: a
     # candidate that the page contradicts and the best one that it agrees with sum up to no more than 1.
     for side in ("a", "b"):
-        best = v.where("town = 1 or site = 1").groupBy(side).agg(F.max_by("var", F.struct("site", "town", "name", "var")).alias("head"))
+        best = v.where((F.col("town") == 1) | own_site).groupBy(side).agg(F.max_by("var", F.struct("site", "town", "name", "var")).alias("head"))
         beside = v.join(best, side).where("var <> head")
-        chained = beside.where("town = 1 or tags > 0.5" if side == "a" else "town = 1 or (tags > 0.5 and town = 0 and site <> -1)").withColumn("rule", F.concat(F.lit(f"same {side}:"), "var"))
-        against = beside.where("town = -1 or site = -1").withColumn("rule", F.concat(F.lit(f"either {side}:"), "var"))
+        alike = F.expr("town = 1 or tags > 0.5") if side == "a" else F.expr("town = 1 or (tags > 0.5 and town = 0)") & ((F.col("town") == 1) | ~other_site)
+        chained = beside.where(alike).withColumn("rule", F.concat(F.lit(f"same {side}:"), "var"))
+        against = beside.where((F.col("town") == -1) | other_site).withColumn("rule", F.concat(F.lit(f"either {side}:"), "var"))
         both = [(chained, -0.1, -1.0, W_SAME_ACT)] + ([(against, -1.0, 1.0, W_ONE_PAGE)] if side == "b" else [])
         for pair, base, coef_of_var, weight in both:
             for name, coef in (("head", 1.0), ("var", coef_of_var)):
@@ -294,8 +340,9 @@ def linked(candidates: DataFrame, pages: DataFrame) -> DataFrame:
 
     Null, blank and repeated rows: a record without a name is linked by its site alone,
     one without either by nothing. Missing places, tags and sites speak neither for nor
-    against, nor does a site that more than OWN_SITE candidates have. Extra columns are
-    ignored; an empty table gives no pairs.
+    against. A site says less the more acts, not records, share it; where more than
+    OWN_SITE do, only pairs with similar names or the whole address in common come into
+    question. Extra columns are ignored; an empty table gives no pairs.
     """
     pairs = settle(paired(candidate_side(candidates), page_side(pages)))
     values = solve(ground_rules(pairs))

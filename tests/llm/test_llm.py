@@ -204,6 +204,34 @@ def test_linkage_of_names_typed_as_one_or_further_apart(spark):
     assert {k for k, v in got.items() if v >= linkage.SURE} == {(1, "x"), (2, "y")} and set(got) == {(1, "x"), (2, "y"), (3, "n")}
 
 
+def test_a_site_is_told_by_its_acts_not_by_its_records(spark):
+    words = "bavuk hemod jifal kopaz mulen nirot pubas rosed suvik tezom vafil wogan zubet cadov dimuk fapol gesir lutan havem kiron letig morun"
+    c = [(i, f"p{i}", ("Anna Kravomeil", "Ana Kravomeil")[i % 2], "Tusk, Vareny", [], '{"site": "https://kravo.example/"}') for i in range(30)]  # records of one act
+    c += [(100 + i, f"q{i}", f"Pale {w}", None, [], f'{{"site": "https://many.example/{w}/"}}') for i, w in enumerate(words.split())]  # one record of each of many acts
+    p = [("x", None, "youtube", "UC1", None, "unknown", '{"candidate_name": "Unlike", "site": "http://www.kravo.example"}'), ("y", None, "deezer", "1", None, "unknown", '{"candidate_name": "Other Thing", "site": "many.example/kopaz#top"}'),
+         ("z", None, "deezer", "2", None, "unknown", '{"candidate_name": "Unlike", "site": "many.example"}'), ("n", None, "soundcloud", "3", None, "unknown", '{"candidate_name": "Anna Kravomeil", "city": "Tusk", "site": "zupelo.example"}')]
+    cs = spark.createDataFrame(c, "id bigint, platform_id string, band_name string, location string, tags array<string>, links string")
+    ps = spark.createDataFrame(p, "id string, artist_id string, platform string, platform_id string, vanity_url string, page_type string, binding_evidence string")
+    for candidates in (cs, cs.unionByName(cs.withColumn("id", F.col("id") + 1000))):  # a larger table with the same acts
+        got = {(r.candidate_id, r.identity_id): r.sureness for r in linkage.linked(candidates, ps).collect()}
+        ids = {r.id for r in candidates.collect()}
+        assert {k for k, v in got.items() if v >= linkage.SURE} == {(i, "x") for i in ids if i % 1000 < 30} | {(i, "y") for i in ids if i % 1000 == 103}
+        assert {k for k in got if k[1] in "zn"} == {(i, "n") for i in ids if i % 1000 < 30}
+
+
+def test_what_a_shared_site_says_fades(spark):
+    # a host of n acts, "Anna Kravomeil" among them: a page of that name on it is surely hers up to 20, and less and less in question beyond
+    made = ["".join(w) for w in itertools.product(("brol", "dinz", "fumk", "gash", "jevt", "pixo"), ("amur", "etok", "ilsh", "onde", "uvig", "yrap"))]
+    for n, weight in ((2, 6.0), (20, 1.025), (30, 20.5 / 30)):
+        c = [(i, w, None, [], "many.example", "many.example") for i, w in enumerate(["Anna Kravomeil", *made[: n - 1]])]
+        left = spark.createDataFrame(c, "id bigint, name string, place string, tags array<string>, site string, address string")
+        right = spark.createDataFrame([("x", "deezer", *c[0][1:])], "id string, platform string, name string, place string, tags array<string>, site string, address string")
+        pairs = linkage.paired(left, right)
+        rules = {r["rule"]: r["weight"] for r in linkage.ground_rules(pairs).collect()}
+        assert rules["site:0|x"] == pytest.approx(weight)
+        assert ("site:1|x" in rules) == (n <= 20)
+
+
 def test_a_page_belongs_to_one_of_the_candidates_that_differ(spark):
     row = (1, "x", "deezer", 1.0, 1, 0, None), (2, "x", "deezer", 1.0, -1, 0, 0.9), (3, "x", "deezer", 0.75, 0, 0, 0.9)
     pairs = spark.createDataFrame(row, "a int, b string, platform string, name double, town int, site int, tags double")
