@@ -2,8 +2,10 @@ import datetime as dt
 import itertools
 import math
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +183,37 @@ def test_tile_is_exact():
     assert all(set(j[i == a]) == set(np.argsort(-(q[a] @ m.T))[:5]) for a in range(40))
 
 
+def vector_batch(v):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(["g#"] * len(v)), pa.array([f"k{i}" for i in range(len(v))]), pa.array(v.tolist(), pa.list_(pa.float32()))], names=["grp", "key", "embedding"]
+    )
+
+
+def test_vectors_travel_packed_and_unharmed():
+    rng = np.random.default_rng(4)
+    for d in (1, 5, 96):
+        v = rng.normal(size=(300, d)).astype(np.float32)
+        v[::7, 0] = 40.0  # rows with a value near 1 need more bits
+        (units,) = neighbours._to_units([vector_batch(v)])
+        w = v.astype(np.float64)
+        want = (np.round(w / np.linalg.norm(w, axis=1, keepdims=True), 6) + 0.0).astype(np.float32)
+        assert np.array_equal(neighbours._matrix(units.column(2)), want)
+        lengths = [len(x) for x in units.column(2).to_pylist()]
+        assert max(lengths) <= 3 * d + 1 and (d < 96 or np.median(lengths) <= 2.5 * d + 1)
+
+
+def test_vector_goes_to_its_own_tile_once():
+    (units,) = neighbours._to_units([vector_batch(np.random.default_rng(5).normal(size=(50, 8)))])
+    cls = pa.array([bytes([0, 0, i, 7 * i % 256]) for i in range(50)], pa.binary())
+    batch = pa.RecordBatch.from_arrays([units.column(0), units.column(1), cls, units.column(2)], names=["grp", "key", "cls", "unit"])
+    sites, blocks = SimpleNamespace(value={"g#": np.eye(8, dtype=np.float32)[:1]}), SimpleNamespace(value={("g#", 0): (2, 3)})
+    tiles = [x for b in neighbours._routed(sites, blocks, 6)([batch]) for x in b.to_pylist()]
+    assert len(tiles) == len({(x["key"], x["mb"], x["qb"]) for x in tiles}) == 50 * (2 + 3 - 1)
+    for key in {x["key"] for x in tiles}:
+        asked, held = ({(x["mb"], x["qb"]) for x in tiles if x["key"] == key and x["role"] & bit} for bit in (2, 1))
+        assert {mb for mb, _ in asked} == {0, 1} and {qb for _, qb in held} == {0, 1, 2} and len(asked & held) == 1
+
+
 # 5
 def test_linkage(spark):
     c = [(1, "p1", "Anna Kravomeil", "Tusk, Vareny", ["dub", "acid jazz"], '{"site": "https://www.kravo.example/"}', 1), (2, "p2", "Anna Kravomeil", "Olm", ["metal"], None, 1), (3, "p3", None, None, None, None, 1), (1, "p1", "Anna Kravomeil", "Tusk, Vareny", ["dub", "acid jazz"], '{"site": "https://www.kravo.example/"}', 1)]
